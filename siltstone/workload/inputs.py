@@ -130,6 +130,33 @@ select '"'||cast(o_custkey as string)||'"' cms_certification_number_ccn,
   ' "'||cast(count(distinct o_orderpriority) as string)||'"' count_of_electrical_deficiencies,
   'none' count_of_miscellaneous_deficiencies
 from {{orders}} group by o_custkey, o_orderkey%3+1""",
+    "dirty_lines": f"""
+select l_orderkey, l_partkey, l_linenumber, l_quantity,
+  case l_partkey%5 when 0 then '"'||cast(l_partkey as string)||'"' when 1 then '  '||cast(l_partkey as string)||' '
+    when 2 then cast(l_partkey as string)||'0000000' when 3 then '' else cast(l_partkey as string) end key_text,
+  case l_suppkey%3 when 0 then ' "'||cast(l_suppkey as string)||'"' else cast(l_suppkey*1000 as string) end zip_text,
+  case l_linenumber%4 when 0 then 'N/A' when 1 then ' '||cast(l_linenumber as string)||' '
+    else cast(l_partkey as string) end int_text,
+  case l_linenumber%3 when 0 then '' when 1 then cast(l_quantity as string)
+    else cast(l_extendedprice as string)||'%' end double_text,
+  case when l_partkey%6=0 then '"?"' else ' "'||cast(l_linenumber as string)||'" ' end quoted_int,
+  case l_linenumber%5 when 0 then {_iso('l_shipdate')} when 1 then ' '||{_iso('l_shipdate')}||' '
+    when 2 then {_us('l_shipdate')} when 3 then '2024-02-30' else 'pending' end date_text,
+  case when l_partkey%4=0 then 'no date' else 'owned since '||{_us('l_shipdate')}||'; was 01/02/1990' end free_text,
+  case l_linenumber%3 when 0 then {_compact('l_shipdate')}||'-'||{_compact('l_shipdate')}
+    when 1 then {_compact('l_shipdate')}||'-20249999' else substr({_iso('l_shipdate')},1,4)||'Q1' end period_text,
+  case l_partkey%7 when 0 then 'Y' when 1 then ' yes' when 2 then 'True ' when 3 then 'n' when 4 then '0'
+    when 5 then 'maybe' else null end flag_text,
+  case l_linenumber%2 when 0 then {_compact('l_shipdate')} else {_iso('l_shipdate')} end work_text
+from {{lineitem}}""",
+    "file_names": """
+select doc_id, case doc_id%4 when 0 then 'NH '||upper(lang)||'  '||cast(doc_id as string)||'.CSV'
+    when 1 then lang||'__part_'||cast(doc_id as string)||'.json' when 2 then lang||'.'||cast(doc_id as string)||'.csv.json'
+    else lang||'_'||cast(doc_id as string)||'.json.csv' end filename,
+  case when doc_id%6=0 then 'loose/'||cast(doc_id as string)||'.csv'
+    else 'raw/'||lang||'/ingest_dt=2024-01-'||lpad(cast(1+doc_id%28 as string),2,'0')||'/'||cast(doc_id as string)||'.csv'
+    end s3_key, n_chars size_bytes
+from {documents}""",
     "files_now": """
 select lang||'_'||cast(doc_id as string)||'.csv' filename, n_chars size_bytes, $sha(text) sha256
 from {documents} where doc_id%13<>0""",
