@@ -20,8 +20,18 @@ _LATIN1_CHARS = "".join(map(chr, _CP1252_BYTES))
 _CP1252_CHARS = bytes(_CP1252_BYTES).decode("cp1252")
 
 
+# No cell holds this text, so that a quoted empty cell stays '' instead of becoming NULL.
+_NO_NULL_TEXT = "\x00"
+
+
 def _csv(spark: SparkSession):
-    return spark.read.option("header", True).option("quote", '"').option("escape", "\\")
+    return (
+        spark.read.option("header", True)
+        .option("quote", '"')
+        .option("escape", "\\")
+        .option("nullValue", _NO_NULL_TEXT)
+        .option("emptyValue", "")
+    )
 
 
 def read_fixed_csv(
@@ -29,8 +39,8 @@ def read_fixed_csv(
 ) -> DataFrame:
     """Raw table with a fixed all-text schema; the header line is skipped, columns go by position.
 
-    ``empties="blank"`` turns empty cells into ``''`` instead of NULL. Cells a short row lacks then
-    become ``''`` too, since both look the same to the reader.
+    A quoted empty cell is ``''``, an unquoted one NULL. ``empties="blank"`` makes both ``''``; cells a
+    short row lacks then become ``''`` too, since they look the same to the reader.
     """
     schema = text_schema(RAW_COLUMNS[dataset], INGEST_DT if partitioned else None)
     df = _csv(spark).schema(schema).csv(path)
