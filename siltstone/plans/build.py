@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +12,9 @@ from siltstone.plans import models
 from siltstone.plans.calendar import dim_date
 from siltstone.sinks.writers import replace_table
 from siltstone.sources.readers import at_date
+from siltstone.sources.schemas import INGEST_DT
+
+Raw = Callable[[str], DataFrame]
 
 DATASETS = (
     "provider", "swing_bed", "ownership", "claims_measures", "mds_measures", "snf_measures",
@@ -30,6 +33,11 @@ TABLE_DATASETS = {
     "fact_staffing_daily": ("staffing",),
     "fact_survey_cycle_summary": ("survey_summary",),
 }
+# Facts that look their date up in the calendar.
+DATED_TABLES = (
+    "fact_ownership", "fact_survey_event", "fact_penalties", "fact_citations", "fact_staffing_daily",
+)
+TABLES = ("dim_date", "dim_facility", "dim_measure", *TABLE_DATASETS)
 
 
 def latest_raw(raw: Mapping[str, DataFrame], inventory: DataFrame, keys: Mapping[str, str] | None = None) -> tuple[dict[str, DataFrame], dict[str, str]]:
@@ -43,24 +51,19 @@ def latest_raw(raw: Mapping[str, DataFrame], inventory: DataFrame, keys: Mapping
     return {name: at_date(df, bound[name]) for name, df in raw.items()}, bound
 
 
-def curated_tables(spark: SparkSession, raw: Mapping[str, DataFrame], run_date: str) -> dict[str, DataFrame]:
-    """All dimensions and facts over raw frames bound to one date each."""
-    calendar = dim_date(spark)
-    measures = (raw["claims_measures"], raw["mds_measures"])
-    return {
-        "dim_date": calendar,
-        "dim_facility": models.dim_facility(raw["provider"], raw["swing_bed"], run_date),
-        "dim_measure": models.dim_measure(*measures, raw["snf_measures"], raw["swing_bed"], run_date),
-        "fact_ownership": models.fact_ownership(raw["ownership"], calendar),
-        "fact_facility_covid": models.fact_facility_covid(raw["covid_provider"]),
-        "fact_state_covid_vax_avgs": models.fact_state_covid_vax_avgs(raw["covid_state"]),
-        "fact_survey_event": models.fact_survey_event(raw["survey_dates"], calendar),
-        "fact_penalties": models.fact_penalties(raw["penalties"], calendar),
-        "fact_quality_measure_score": models.fact_quality_measure_score(*measures),
-        "fact_citations": models.fact_citations(raw["fire_citations"], raw["health_citations"], calendar),
-        "fact_staffing_daily": models.fact_staffing_daily(raw["staffing"], calendar),
-        "fact_survey_cycle_summary": models.fact_survey_cycle_summary(raw["survey_summary"]),
-    }
+def curated_table(spark: SparkSession, name: str, raw: Raw, run_date: str) -> DataFrame:
+    """One dimension or fact; ``raw`` gives a dataset's frame bound to one date."""
+    if name == "dim_date":
+        return dim_date(spark)
+    if name == "dim_facility":
+        return models.dim_facility(raw("provider"), raw("swing_bed"), run_date)
+    if name == "dim_measure":
+        sources = ("claims_measures", "mds_measures", "snf_measures", "swing_bed")
+        return models.dim_measure(*map(raw, sources), run_date)
+    frames = [raw(dataset) for dataset in TABLE_DATASETS[name]]
+    if name in DATED_TABLES:
+        frames.append(dim_date(spark))
+    return getattr(models, name)(*frames)
 
 
 def check_partitions(dates: Mapping[str, str], run_date: str) -> dict[str, list[str]]:
@@ -72,8 +75,9 @@ def check_partitions(dates: Mapping[str, str], run_date: str) -> dict[str, list[
 def build(spark: SparkSession, raw: Mapping[str, DataFrame], inventory: DataFrame, root: str, run_date: str) -> DataFrame:
     """Replace every curated table below ``root``, then check them; raises on the first failed check."""
     bound, dates = latest_raw(raw, inventory)
-    for name, df in curated_tables(spark, bound, run_date).items():
-        replace_table(df, f"{root}/{name}", partition=None if name == "dim_date" else "ingest_dt")
+    for name in TABLES:
+        df = curated_table(spark, name, bound.__getitem__, run_date)
+        replace_table(df, f"{root}/{name}", partition=None if name == "dim_date" else INGEST_DT)
     stored = {name: spark.read.parquet(f"{root}/{name}") for name in check_partitions(dates, run_date)}
     results = run_checks(stored, check_partitions(dates, run_date))
     enforce(results)

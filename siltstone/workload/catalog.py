@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from siltstone.workload import model_queries  # noqa: F401
+from siltstone.workload import (  # noqa: F401
+    column_queries,
+    model_queries,
+    profile_queries,
+    relation_queries,
+    series_queries,
+    stage_queries,
+    state_queries,
+)
 from siltstone.workload.registry import ORACLES, QUERIES, Query
 
 
