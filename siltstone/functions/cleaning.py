@@ -65,10 +65,28 @@ def unquoted_number(column: Column | str, dtype: str) -> Column:
     return unquoted(column).try_cast(dtype)
 
 
+# The shape each pattern asks for; the named groups are put in ISO order before the cast.
+_DATE_SHAPES = {
+    ISO_DATE: "(?<y{0}>[0-9]{{4}})-(?<m{0}>[0-9]{{1,2}})-(?<d{0}>[0-9]{{1,2}})",
+    US_DATE: "(?<m{0}>[0-9]{{1,2}})/(?<d{0}>[0-9]{{1,2}})/(?<y{0}>[0-9]{{4}})",
+    COMPACT_DATE: "(?<y{0}>[0-9]{{4}})(?<m{0}>[0-9]{{2}})(?<d{0}>[0-9]{{2}})",
+}
+
+
 def parse_date(column: Column | str, *patterns: str) -> Column:
-    """First pattern that parses wins; NULL when none does."""
-    tries = [F.try_to_date(_c(column), p) for p in (patterns or (ISO_DATE,))]
-    return tries[0] if len(tries) == 1 else F.coalesce(*tries)
+    """First pattern that parses wins; NULL when none does. Impossible days do not parse.
+
+    A pattern parser throws, inside the task, for every text that does not fit, and several patterns
+    repeat the text's own expression. Here one replacement puts whichever shape fits into ISO order
+    and leaves ``--`` of any other text, which the cast turns to NULL. The shapes exclude each other,
+    so their order does not matter.
+    """
+    patterns = patterns or (ISO_DATE,)
+    if any(p not in _DATE_SHAPES for p in patterns):
+        return F.coalesce(*(F.try_to_date(_c(column), p) for p in patterns))
+    shapes = "|".join(_DATE_SHAPES[p].format(i) for i, p in enumerate(patterns))
+    iso = "-".join("".join(f"${{{part}{i}}}" for i in range(len(patterns))) for part in "ymd")
+    return F.regexp_replace(_c(column), rf"(?s)^(?:(?:{shapes})\z|.*)", iso).try_cast("date")
 
 
 def blank_to_null(column: Column | str) -> Column:

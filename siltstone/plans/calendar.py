@@ -16,8 +16,9 @@ def dim_date(spark: SparkSession, first: date = FIRST_DAY, last: date = LAST_DAY
     """One row per day. Day, month, year and quarter are text; ``date_id`` is yyyymmdd as integer."""
     days = spark.range(0, (last - first).days + 1, 1, 1)
     dated = days.select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("date"))
+    date_id = F.year("date") * 10000 + F.month("date") * 100 + F.day("date")
     return dated.select(
-        F.date_format("date", "yyyyMMdd").cast("int").alias("date_id"),
+        date_id.alias("date_id"),
         "date",
         F.date_format("date", "dd").alias("day_nbr"),
         F.date_format("date", "MM").alias("month_nbr"),

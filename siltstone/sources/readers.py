@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.functions.cleaning import COMPACT_DATE
+from siltstone.functions.cleaning import COMPACT_DATE, parse_date
 from siltstone.sources.schemas import INGEST_DT, INVENTORY, MANIFEST, RAW_COLUMNS, text_schema
 
 # Manifest lists in order of precedence.
@@ -119,7 +119,7 @@ def read_csv_any_encoding(
         as_utf8 = F.decode(F.encode(raw, "ISO-8859-1"), "UTF-8")
         text = F.when(F.col("_utf8").isNull(), as_utf8).otherwise(F.translate(raw, _LATIN1_CHARS, _CP1252_CHARS))
         if name in date_columns:
-            text = F.try_to_date(text, date_columns[name])
+            text = parse_date(text, date_columns[name])
         return text.alias(name)
 
     return data.select(*(decoded(name) for name in names))
