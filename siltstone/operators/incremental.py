@@ -21,6 +21,7 @@ from siltstone.functions.paths import (
 )
 from siltstone.functions.cleaning import blank_to_null
 from siltstone.operators.keys import latest_value
+from siltstone.session import written
 from siltstone.sources.schemas import FILE_ENTRY, INGEST_DT, INVENTORY
 
 STATE_COLUMNS = tuple(FILE_ENTRY.names)
@@ -203,8 +204,11 @@ def bind_dates(files: DataFrame, datasets: list[str]) -> dict[str, str]:
 
 
 def keep_latest(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows of each dataset's own latest date, for frames that hold many datasets."""
-    return rows.join(latest_dates(files), ["dataset_key", INGEST_DT], "left_semi")
+    """Rows of each dataset's own latest date, for frames that hold many datasets.
+
+    The dates, one row per dataset, are written first, so that the join is planned by their true size.
+    """
+    return rows.join(written(latest_dates(files), "latest-dates"), ["dataset_key", INGEST_DT], "left_semi")
 
 
 def partition_plan(files: DataFrame, tables: DataFrame, root: str = "") -> DataFrame:

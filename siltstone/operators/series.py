@@ -44,10 +44,15 @@ def with_row_index(df: DataFrame, group: Sequence[str], order: Sequence[str], na
     ).withColumn("_range", F.shiftright("_place", _PARTITION_BIT))
     held = placed.groupBy(*group, "_range").agg(F.min("_place").alias("_first"), F.count("*").alias("_held"))
     before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = held.select(
-        *group,
-        "_range",
-        (F.coalesce(F.sum("_held").over(before), F.lit(0)) - F.col("_first")).alias("_offset"),
+    # Written, so that the planner knows their size and broadcasts them if small, without first
+    # shuffling the rows they are joined to.
+    offsets = written(
+        held.select(
+            *group,
+            "_range",
+            (F.coalesce(F.sum("_held").over(before), F.lit(0)) - F.col("_first")).alias("_offset"),
+        ),
+        "row-offsets",
     )
     return join_null_safe(placed, offsets, [*group, "_range"]).select(
         *df.columns, (F.col("_place") + F.col("_offset")).alias(name)
@@ -116,8 +121,11 @@ def linear_fit(indexed: DataFrame, group: Sequence[str], value: str, row_index:
 
 
 def fit_error(indexed: DataFrame, fit: DataFrame, group: Sequence[str], value: str, row_index: str = "row_index") -> DataFrame:
-    """Mean absolute error of each group's fit over the rows it was made from."""
-    lines = fit.select(*group, "slope", "intercept")
+    """Mean absolute error of each group's fit over the rows it was made from.
+
+    The lines are written first, so that the join to all rows is planned by their true size.
+    """
+    lines = written(fit.select(*group, "slope", "intercept"), "fit")
     gap = F.abs(F.col(value) - (F.col("slope") * F.col(row_index) + F.col("intercept")))
     return join_null_safe(indexed, lines, group).groupBy(*group).agg(F.avg(gap).alias("mae"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions.cleaning import COMPACT_DATE, parse_date
+from siltstone.session import written
 from siltstone.sources.schemas import INGEST_DT, INVENTORY, MANIFEST, RAW_COLUMNS, text_schema
 
 # Manifest lists in order of precedence.
@@ -102,12 +103,14 @@ def read_csv_any_encoding(
     decoded per file. Columns stay text, but for those in ``date_columns`` (name to pattern).
     """
     date_columns = {"WorkDate": COMPACT_DATE} if date_columns is None else date_columns
-    verdict = (
+    # Only the exceptions, written so that the join to all rows is planned by their true size.
+    verdict = written(
         spark.read.text(path)
         .select(F.col("_metadata.file_path").alias("_file"), F.is_valid_utf8("value").alias("ok"))
         .groupBy("_file")
         .agg(F.min("ok").alias("_utf8"))
-        .where(~F.col("_utf8"))
+        .where(~F.col("_utf8")),
+        "encodings",
     )
     latin = _csv(spark).option("encoding", "ISO-8859-1")
     names = latin.csv(path).columns

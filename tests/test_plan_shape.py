@@ -77,3 +77,11 @@ def test_moving_average_pieces_split_a_hot_group(spark):
     rows = spark.range(0, 4000).select(F.lit("hot").alias("g"), "id", (F.col("id") % 7).cast("double").alias("v"))
     text = plan(series.moving_averages(rows, ["g"], ["id"], "v", {"m": 20}, piece_rows=100))
     assert "Exchange hashpartitioning(g" in text and "_piece" in text.split("Exchange hashpartitioning(g")[1].split(")")[0]
+
+
+def test_positions_are_joined_without_shuffling_the_rows(spark):
+    indexed = series.with_row_index(table(spark, SF_DIR, "events"), ["event_type"], ["ts", "event_id"])
+    text = plan(indexed)
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    error = series.fit_error(indexed, series.linear_fit(indexed, ["event_type"], "value"), ["event_type"], "value")
+    assert plan(error).count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan(error)

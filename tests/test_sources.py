@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import hashlib
+import subprocess
+import sys
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark import cloudpickle
 
 from siltstone.sources import readers
-from siltstone.sources.files import copy_files, hash_files
+from siltstone.sources.files import _task_functions, copy_files, hash_files
 from siltstone.sources.schemas import RAW_COLUMNS
 
 
@@ -117,3 +119,10 @@ def test_series_with_other_key_order(spark):
     assert {tuple(r) for r in rows.collect()} == {
         (1, "d1", 1, 10), (1, "d2", 2, 20), (2, "d1", 1, 5), (2, "d2", 2, None),
     }
+
+
+def test_task_functions_need_no_package_on_the_executors(tmp_path):
+    blob = cloudpickle.dumps(_task_functions())
+    code = f"import pickle, sys; pickle.loads({blob!r}); assert 'siltstone' not in sys.modules; print('ok')"
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path)
+    assert done.stdout.strip() == "ok", done.stderr
