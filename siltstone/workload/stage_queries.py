@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltstone.operators.incremental import Run, inventory, merge_state
+from siltstone.operators.incremental import Run, detect_changes, inventory, merge_state
+from siltstone.plans import models
 from siltstone.session import fresh_path
 from siltstone.sinks import writers
 from siltstone.sources import readers
@@ -12,7 +13,7 @@ from siltstone.sources.files import hash_files
 from siltstone.sources.schemas import INGEST_DT, RAW_COLUMNS
 from siltstone.workload.inputs import LANDED, RUN_DATE, RUN_TS, check_sql, ctes, derived, raw, table
 from siltstone.workload.model_queries import CHANGES_SQL, FILES_PER_RUN, run_manifests
-from siltstone.workload.registry import key, nulls, query
+from siltstone.workload.registry import query
 
 RUN = Run(RUN_DATE, RUN_TS, source="folder", bucket="lake", raw_prefix="raw")
 SECOND = "2024-01-08"
@@ -108,8 +109,6 @@ inv as (select coalesce(nullif(data_ingest_dt, ''),
 
 
 def next_state(spark, sf_dir):
-    from siltstone.operators.incremental import detect_changes
-
     prior = derived(spark, sf_dir, "files_prior")
     return merge_state(prior, detect_changes(derived(spark, sf_dir, "files_now"), prior), RUN)
 
@@ -370,6 +369,28 @@ def _layers(spark, sf_dir):
     return layers
 
 
+@query(
+    "run_ledger",
+    f"""{CHANGES_SQL},
+m as (select {_run_number} run, count(*) filter (status <> 'unchanged' and size_bytes <= 15000) u,
+  count(*) filter (status = 'unchanged' and size_bytes <= 15000) s, count(*) filter (size_bytes > 15000) e
+  from changes group by 1)
+select run_ts_utc, case when e = 0 then 'ok' else 'partial_failure' end status,
+  'control/' || cast(run as varchar) || '/manifest.json' manifest_s3_key, u counts_uploaded,
+  s counts_skipped_unchanged, e counts_errors, u + s + e counts_total_files_seen, ingest_dt
+from m, (values ('{RUN_TS}', '{RUN_DATE}'), ('2024-02-08T05:00:00+00:00', '2024-02-08')) r(run_ts_utc, ingest_dt)""",
+)
+def _run_ledger(spark, sf_dir):
+    """The ledger after two runs over the same manifests."""
+    path = fresh_path(spark, "ledger")
+    key = F.concat(F.lit("control/"), "source", F.lit("/manifest.json"))
+    for stamp, day in ((RUN_TS, RUN_DATE), ("2024-02-08T05:00:00+00:00", "2024-02-08")):
+        manifests = run_manifests(spark, sf_dir).withColumns({"run_ts_utc": F.lit(stamp), "ingest_dt": F.lit(day)})
+        ledger = models.control_watermark(manifests, key)
+        writers.append_ledger(ledger, path)
+    return spark.read.schema(ledger.schema).parquet(path).drop("run_ts")
+
+
 @query("sink_view", "select o_orderstatus, count(*) order_cnt from orders group by 1")
 def _view(spark, sf_dir):
     writers.publish_view(table(spark, sf_dir, "orders").select("o_orderstatus"), "siltstone_orders")

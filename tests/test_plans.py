@@ -138,3 +138,13 @@ def test_one_large_output_folder_is_written_by_several_tasks(spark, tmp_path):
     hot = list((tmp_path / "raw/dataset_key=hot/ingest_dt=2024-01-01").glob("*.parquet"))
     assert len(hot) > 4
     assert spark.read.parquet(f"{tmp_path}/raw").count() == 60_000
+
+
+def test_published_tables(spark, tmp_path):
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-08")], "id int, ingest_dt string")
+    writers.replace_table(df, f"{tmp_path}/facts")
+    writers.replace_table(df.select("id"), f"{tmp_path}/days", partition=None)
+    for _ in range(2):
+        writers.publish_tables(spark, "curated_test", str(tmp_path), ["facts", "days"])
+    assert spark.table("curated_test.facts").where("ingest_dt = '2024-01-08'").select("id").collect() == [(2,)]
+    assert spark.table("curated_test.days").count() == 2
