@@ -182,9 +182,9 @@ def iso_wall_time(column: Column | str) -> Column:
 def with_missing_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema`` from ``df``; columns it lacks are typed NULLs."""
     present = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *(
-            F.col(f"`{f.name}`") if f.name in present else typed_null(f.dataType).alias(f.name)
+            f"`{f.name}`" if f.name in present else f"cast(null as {f.dataType.simpleString()}) as `{f.name}`"
             for f in schema.fields
         )
     )

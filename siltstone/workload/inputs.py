@@ -34,7 +34,7 @@ def _compact(column: str) -> str:
     return f"replace({_iso(column)},'-','')"
 
 
-def _measures(score: str, second: str, footnote: str, remainder: int) -> str:
+def _measures(score: str, second: str, footnote: str, marker: str) -> str:
     return f"""
 select cast(l_suppkey as string) cms_certification_number_ccn, p_brand measure_code,
   case when p_size%4=0 then '' else p_type end measure_description,
@@ -42,9 +42,9 @@ select cast(l_suppkey as string) cms_certification_number_ccn, p_brand measure_c
     else substr({_iso('l_shipdate')},1,4)||'Q1' end measure_period,
   cast(l_quantity as string) {score},
   case when l_linenumber=3 then 'NA' else cast(l_tax as string) end {second},
-  'note '||l_linestatus {footnote}, l_returnflag resident_type,
+  '{marker} '||l_linestatus {footnote}, l_returnflag resident_type,
   case l_linenumber%3 when 0 then ' yes ' when 1 then 'N' else '?' end used_in_quality_measure_five_star_rating
-from {{lineitem}} join {{part}} on l_partkey=p_partkey where l_orderkey%2={remainder}"""
+from {{lineitem}} join {{part}} on l_partkey=p_partkey"""
 
 
 INPUT_SQL: dict[str, str] = {
@@ -59,9 +59,9 @@ select case s_suppkey%3 when 0 then '"'||cast(s_suppkey as string)||'"'
   case when s_suppkey%5=0 then '' else cast(s_suppkey%3 as string)||'.125' end adjusted_rn_staffing_hours_per_resident_per_day
 from {supplier} join {nation} on s_nationkey=n_nationkey""",
     "swing_bed": """
-select '"'||cast(s_suppkey as string)||'"' cms_certification_number_ccn,
+select '"'||cast(case when s_suppkey%2=0 then s_suppkey else -s_suppkey end as string)||'"' cms_certification_number_ccn,
   '"'||cast(n_regionkey as string)||'"' cms_region, 'S_'||cast(s_suppkey%5 as string) measure_code
-from {supplier} join {nation} on s_nationkey=n_nationkey where s_suppkey%2=0""",
+from {supplier} join {nation} on s_nationkey=n_nationkey""",
     "snf_measures": """
 select cast(c_custkey as string) cms_certification_number_ccn, '"'||c_mktsegment||'"' measure_code,
   cast(c_acctbal as string) score
@@ -72,9 +72,9 @@ select cast(o_custkey%100 as string) cms_certification_number_ccn, c_name owner_
   o_orderstatus role_played_by_owner_or_manager_in_facility,
   case when o_orderkey%10=0 then 'NO DATE PROVIDED' else 'since '||{_us('o_orderdate')} end association_date
 from {{orders}} join {{customer}} on o_custkey=c_custkey""",
-    "claims_measures": _measures("adjusted_score", "observed_score", "footnote_for_score", 0),
+    "claims_measures": _measures("adjusted_score", "observed_score", "footnote_for_score", "claim"),
     "mds_measures": _measures(
-        "four_quarter_average_score", "q1_measure_score", "footnote_for_four_quarter_average_score", 1
+        "four_quarter_average_score", "q1_measure_score", "footnote_for_four_quarter_average_score", "mds"
     ),
     "covid_provider": f"""
 select '"'||cast(o_custkey as string)||'"' cms_certification_number_ccn,
@@ -157,18 +157,21 @@ select doc_id, case doc_id%4 when 0 then 'NH '||upper(lang)||'  '||cast(doc_id a
     else 'raw/'||lang||'/ingest_dt=2024-01-'||lpad(cast(1+doc_id%28 as string),2,'0')||'/'||cast(doc_id as string)||'.csv'
     end s3_key, n_chars size_bytes
 from {documents}""",
+    # Every document is a file of this run and of the one before; some go by another name in one of them,
+    # which makes them new, or carried along.
     "files_now": """
-select lang||'_'||cast(doc_id as string)||'.csv' filename, n_chars size_bytes, $sha(text) sha256
-from {documents} where doc_id%13<>0""",
+select lang||'_'||cast(doc_id as string)||case when doc_id%13=0 then '.new.csv' else '.csv' end filename,
+  n_chars size_bytes, $sha(text) sha256
+from {documents}""",
     "files_prior": """
-select lang||'_'||cast(doc_id as string)||'.csv' filename, lang||'_'||cast(doc_id as string) dataset_key,
-  case when doc_id%7=0 then $sha(text||'x') else $sha(text) end sha256, n_chars size_bytes,
-  'raw/'||lang||'_'||cast(doc_id as string)||'/ingest_dt=2024-01-0'||cast(1+doc_id%9 as string)||'/'||lang||'_'
-    ||cast(doc_id as string)||'.csv' s3_key,
-  case when doc_id%4=0 then '' else '2024-01-0'||cast(1+doc_id%9 as string) end data_ingest_dt,
-  '2024-01-15' last_seen_run_ingest_dt, '2024-01-15T00:00:00+00:00' last_seen_run_ts_utc,
-  doc_id%11<>0 object_exists
-from {documents} where doc_id%5<>0""",
+select filename, replace(filename,'.csv','') dataset_key, sha256, size_bytes,
+  'raw/'||replace(filename,'.csv','')||'/ingest_dt='||landed||'/'||filename s3_key,
+  case when doc_id%4=0 then '' else landed end data_ingest_dt, '2024-01-15' last_seen_run_ingest_dt,
+  '2024-01-15T00:00:00+00:00' last_seen_run_ts_utc, doc_id%11<>0 object_exists
+from (select doc_id, lang||'_'||cast(doc_id as string)||case when doc_id%5=0 then '.old.csv' else '.csv' end filename,
+    case when doc_id%7=0 then $sha(text||'x') else $sha(text) end sha256, n_chars size_bytes,
+    '2024-01-0'||cast(1+doc_id%9 as string) landed
+  from {documents}) d""",
 }
 
 
