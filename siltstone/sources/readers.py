@@ -69,23 +69,28 @@ def read_manifest(spark: SparkSession, path: str, *, one_document: bool = True)
 
 
 def manifest_entries(manifest: DataFrame) -> DataFrame:
-    """One row per listed file: the list's precedence, the place in it, and the file's fields."""
-    parts = []
-    for rank, name in enumerate(MANIFEST_LISTS):
-        fields = manifest.schema[name].dataType.elementType.names
-        rows = manifest.select(F.posexplode(name).alias("list_position", "entry"))
-        parts.append(
-            rows.select(
+    """One row per listed file: the list, its precedence, the place in it, and the file's fields.
+
+    The lists are put end to end and unfolded once, so the documents are parsed once.
+    """
+    entries = {name: manifest.schema[name].dataType.elementType for name in MANIFEST_LISTS}
+    fields = {f.name: f.dataType for entry in entries.values() for f in entry.fields}
+
+    def unfolded(rank: int, name: str) -> Column:
+        own = set(entries[name].names)
+
+        def entry(e: Column, place: Column) -> Column:
+            return F.struct(
                 F.lit(name).alias("list_name"),
                 F.lit(rank).alias("list_rank"),
-                "list_position",
-                *(F.col(f"entry.{field}") for field in fields),
+                place.alias("list_position"),
+                *((e[f] if f in own else F.lit(None).cast(t)).alias(f) for f, t in fields.items()),
             )
-        )
-    entries = parts[0]
-    for part in parts[1:]:
-        entries = entries.unionByName(part, allowMissingColumns=True)
-    return entries
+
+        return F.transform(name, entry)
+
+    lists = F.flatten(F.array_compact(F.array(*(unfolded(i, name) for i, name in enumerate(MANIFEST_LISTS)))))
+    return manifest.select(F.inline(lists))
 
 
 def read_inventory(spark: SparkSession, path: str) -> DataFrame:
