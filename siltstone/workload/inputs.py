@@ -7,8 +7,11 @@ start from the same rows. ``$sha(x)`` stands for the SHA-256 function of either
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltstone.functions.cleaning import with_missing_columns
 from siltstone.sources.schemas import INGEST_DT, raw_schema
@@ -179,10 +182,10 @@ def _sha(text: str, pattern: str) -> str:
     return re.sub(r"\$sha\(([^)]*)\)", pattern, text)
 
 
-def spark_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """Run portable text whose ``{table}`` places name given tables."""
-    names = {n for n in re.findall(r"\{(\w+)\}", sql)}
-    frames = {n: table(spark, sf_dir, n) for n in names}
+def spark_sql(spark: SparkSession, sf_dir: str, sql: str, read: Callable[[str], DataFrame] | None = None) -> DataFrame:
+    """Run portable text whose ``{table}`` places name given tables; ``read`` may share their frames."""
+    read = read or partial(table, spark, sf_dir)
+    frames = {n: read(n) for n in set(re.findall(r"\{(\w+)\}", sql))}
     return spark.sql(_sha(sql, r"sha2(\1,256)"), **frames)
 
 
@@ -202,10 +205,19 @@ def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir: str, dataset: str, ingest_dt: str = LANDED) -> DataFrame:
     """An input with the full raw schema of its dataset and a landing date."""
-    from pyspark.sql import functions as F
+    return _with_raw_schema(derived(spark, sf_dir, dataset), dataset, ingest_dt)
 
-    df = derived(spark, sf_dir, dataset).withColumn(INGEST_DT, F.lit(ingest_dt))
-    return with_missing_columns(df, raw_schema(dataset))
+
+def shared_raw(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
+    """``raw`` for a query over many datasets, looking up each table and input once."""
+    read = cache(partial(table, spark, sf_dir))
+    return cache(
+        lambda dataset: _with_raw_schema(spark_sql(spark, sf_dir, INPUT_SQL[dataset], read), dataset, LANDED)
+    )
+
+
+def _with_raw_schema(df: DataFrame, dataset: str, ingest_dt: str) -> DataFrame:
+    return with_missing_columns(df.withColumn(INGEST_DT, F.lit(ingest_dt)), raw_schema(dataset))
 
 
 def ctes(*names: str) -> str:

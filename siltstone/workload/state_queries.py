@@ -8,7 +8,7 @@ from siltstone.operators import incremental
 from siltstone.operators.checks import TABLE_CHECKS, check_raw_header, check_table, run_checks
 from siltstone.plans.build import curated_table
 from siltstone.workload import model_queries as m
-from siltstone.workload.inputs import LANDED, RUN_DATE, ctes, derived, raw, spark_sql
+from siltstone.workload.inputs import LANDED, RUN_DATE, ctes, derived, raw, shared_raw, spark_sql
 from siltstone.workload.relation_queries import PLAN_SQL, planned_partitions
 from siltstone.workload.registry import query
 from siltstone.workload.stage_queries import INVENTORY_SQL, STATE_SQL, next_inventory, next_state
@@ -180,7 +180,8 @@ _ALL_CHECKS_SQL = " union all ".join(f"(select * from ({_table_check_sql(r)}))"
 
 @query("run_checks", _ALL_CHECKS_SQL)
 def _run_checks(spark, sf_dir):
-    tables = {name: curated(spark, sf_dir, name) for name in _MODEL_SQL}
+    inputs = shared_raw(spark, sf_dir)
+    tables = {name: curated_table(spark, name, inputs, RUN_DATE) for name in _MODEL_SQL}
     return run_checks(tables, {name: [partition] for name, (_, partition) in _MODEL_SQL.items()})
 
 
