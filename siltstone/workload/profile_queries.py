@@ -149,7 +149,7 @@ def _report_part(name: str) -> str:
         found = f"select '{_UNIQUE_KEY[name]}' keys, count(distinct {_UNIQUE_KEY[name]}) n from {name}"
     else:
         found = "select keys, n from found order by step desc limit 1"
-    return f"""select '{name}' file, (select count(*) from {name}) as rows, {len(columns)} cols,
+    return f"""select '{name}' file, (select count(*) from {name}) as rows, cast({len(columns)} as bigint) cols,
   (select string_agg(c || '=' || printf('%.2f%%', p), '; ' order by p desc, pos)
     from (select * from ({stats}) order by p desc, pos limit 5)) top_null_cols,
   (select string_agg(c || '=' || d, '; ' order by d desc, pos)

@@ -267,9 +267,9 @@ def _trend(spark, sf_dir):
 @query(
     "array_sizes",
     f"""{CHANGES_SQL} select cast(cast(regexp_extract(filename, '_([0-9]+)[.]', 1) as bigint) // {FILES_PER_RUN} as varchar) source,
-  count(*) filter (status <> 'unchanged' and size_bytes <= 15000) uploaded,
-  count(*) filter (status = 'unchanged' and size_bytes <= 15000) skipped_unchanged,
-  count(*) filter (size_bytes > 15000) errors from changes group by 1""",
+  cast(count(*) filter (status <> 'unchanged' and size_bytes <= 15000) as integer) uploaded,
+  cast(count(*) filter (status = 'unchanged' and size_bytes <= 15000) as integer) skipped_unchanged,
+  cast(count(*) filter (size_bytes > 15000) as integer) errors from changes group by 1""",
 )
 def _array_sizes(spark, sf_dir):
     return run_manifests(spark, sf_dir).select(

@@ -85,3 +85,31 @@ def test_positions_are_joined_without_shuffling_the_rows(spark):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
     error = series.fit_error(indexed, series.linear_fit(indexed, ["event_type"], "value"), ["event_type"], "value")
     assert plan(error).count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan(error)
+
+
+def test_hot_key_of_the_region_lookup_is_split(spark):
+    """Two thirds of the facilities share one key; its join partition is cut into several tasks."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        key = F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id")).cast("string")
+        rows = spark.range(0, n, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+        lookup = spark.range(n).select(F.col("id").cast("string").alias("k"), (F.col("id") % 10).alias("region"))
+        joined = keys.enrich_left(rows, lookup.unionByName(lookup), "k", ["region"])
+        assert joined.count() == n
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
