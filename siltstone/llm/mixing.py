@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.session import written
@@ -47,10 +47,6 @@ def topic_of(text: Column) -> Column:
     )
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, (left[n].eqNullSafe(right[n]) for n in names))
-
-
 def _shares(cells: DataFrame, name: str, target: Target) -> DataFrame:
     """(value, share) of one margin, shares adding up to 1 over the values that occur.
 
@@ -82,44 +78,32 @@ def rake(cells: DataFrame, targets: Mapping[str, Target]) -> DataFrame:
     scaling can meet at once, because cells are missing, end as near as the last sweep came.
     """
     names = list(targets)
-    count = cells.count()
-    parts = max(1, -(-count // CELLS))
-    # One partition for a table this small: groupings and joins below then need no shuffle at all.
+    parts = max(1, -(-cells.count() // CELLS))
+    # One partition for a table this small: the sums below then need no shuffle at all.
     state = cells.coalesce(1) if parts == 1 else cells.repartition(parts, *names)
-    state = written(state.withColumn("weight", F.col("tokens").cast("double")), "mixing-cells")
-    state = state.coalesce(parts)
-    margins = {n: written(_shares(state, n, targets[n]).coalesce(parts), f"mixing-{n}").coalesce(parts) for n in names}
-    columns = state.columns
-
-    def scaled(frame: DataFrame, name: str) -> DataFrame:
-        now = frame.groupBy(F.col(name).alias("_value")).agg(F.sum("weight").alias("_now"))
-        factor = now.join(margins[name], F.col("_value").eqNullSafe(F.col("value")), "left").select(
-            "_value",
-            F.when(F.col("_now") > 0, F.coalesce("share", F.lit(0.0)) / F.col("_now")).otherwise(0.0).alias("_f"),
-        )
-        joined = frame.join(factor.hint("shuffle_hash"), F.col(name).eqNullSafe(F.col("_value")))
-        return joined.withColumn("weight", F.col("weight") * F.col("_f")).select(*columns)
-
-    def error(frame: DataFrame) -> float:
-        worst = 0.0
-        for name in names:
-            now = frame.groupBy(F.col(name).alias("_value")).agg(F.sum("weight").alias("_now"))
-            off = now.join(margins[name], F.col("_value").eqNullSafe(F.col("value")), "left")
-            gap = F.abs(F.col("_now") - F.coalesce("share", F.lit(0.0)))
-            worst = max(worst, off.agg(F.max(gap)).first()[0] or 0.0)
-        return worst
+    for k, name in enumerate(names):
+        shares = _shares(cells, name, targets[name]).select(F.col("value").alias(f"_v{k}"), F.col("share").alias(f"_s{k}"))
+        state = state.join(written(shares, "mixing-shares"), F.col(name).eqNullSafe(F.col(f"_v{k}")), "left")
+        state = state.withColumn(f"_s{k}", F.coalesce(f"_s{k}", F.lit(0.0))).drop(f"_v{k}")
+    state = written(state.withColumn("weight", F.col("tokens").cast("double")), "mixing-cells").coalesce(parts)
+
+    def now(name: str) -> Column:
+        # A value's cells, one per combination with the other margins: rows of a few numbers that spill.
+        return F.sum("weight").over(Window.partitionBy(name))
 
+    gaps = [F.abs(now(name) - F.col(f"_s{k}")) for k, name in enumerate(names)]
     last = None
     for _ in range(LOOKS):
         for _ in range(SWEEPS):
-            for name in names:
-                state = scaled(state, name)
+            for k, name in enumerate(names):
+                scaled = F.when(F.col("_now") > 0, F.col("weight") * F.col(f"_s{k}") / F.col("_now")).otherwise(0.0)
+                state = state.withColumn("_now", now(name)).withColumn("weight", scaled).drop("_now")
         state = written(state, "mixing-cells").coalesce(parts)
-        off = error(state)
+        off = state.select(F.greatest(F.lit(0.0), *gaps).alias("gap")).agg(F.max("gap")).first()[0] or 0.0
         if off < TOLERANCE or (last is not None and abs(last - off) < TOLERANCE / 10):
             break
         last = off
-    return state
+    return state.drop(*(f"_s{k}" for k in range(len(names))))
 
 
 def with_probability(cells: DataFrame, budget: float) -> DataFrame:
@@ -163,7 +147,7 @@ def mix(
     """
     names = list(targets)
     cells = docs.groupBy(*names).agg(F.sum("mix_tokens").alias("tokens"))
-    cells = written(cells.coalesce(1), "mixing-cells")
+    cells = written(cells, "mixing-cells")
     fitted = written(with_probability(rake(cells, targets), budget), "mixing-fitted")
     renamed = fitted.select(*(F.col(n).alias(f"_c_{n}") for n in names), "ratio", "probability", "tokens")
     on = reduce(lambda a, b: a & b, (docs[n].eqNullSafe(renamed[f"_c_{n}"]) for n in names))

@@ -72,7 +72,7 @@ def with_rule(rows: DataFrame, rules: DataFrame, key: str, host: str = "host", p
     """
     rules = written(rules.where("rule_host is not null and rule_path is not null"), "url-rules")
     labels = rules.agg(F.coalesce(F.max(F.size(F.split("rule_host", "\\."))), F.lit(0))).first()[0]
-    ending = F.substring_index(F.col(host), ".", -F.col("_labels"))
+    ending = F.call_function("substring_index", F.col(host), F.lit("."), -F.col("_labels"))
     known = F.size(F.split(F.col(host), "\\."))
     asked = (
         rows.where((F.col(host) != "") & F.lit(labels > 0))
@@ -102,6 +102,8 @@ def alias_links(pages: DataFrame) -> DataFrame:
         .select("node", "host", "path", F.trim(F.replace(target, F.lit("&amp;"), F.lit("&"))).alias("to"))
         .where("to <> ''")
     )
+    # Links are few beside the pages; written, so that pages are searched once.
+    found = written(found, "url-links")
     folder = F.regexp_extract("path", r"(?s)^.*/", 0)
     base = F.concat(F.lit("x://"), F.col("host"))
     absolute = (
@@ -112,7 +114,9 @@ def alias_links(pages: DataFrame) -> DataFrame:
         .when(F.startswith("to", F.lit("#")), F.concat(base, F.col("path")))
         .otherwise(F.concat(base, F.when(folder == "", "/").otherwise(folder), F.col("to")))
     )
-    return found.select("node", node_of(absolute).alias("target")).where("node <> target")
+    # A generator keeps the address from being worked out anew wherever it is used.
+    resolved = found.select("node", F.explode(F.array(absolute)).alias("url"))
+    return resolved.select("node", F.explode(F.array(node_of(F.col("url")))).alias("target")).where("node <> target")
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, links: DataFrame | None = None) -> DataFrame:
