@@ -62,9 +62,9 @@ from n left join fits f on f.host = n.host and f.path = n.path left join bad on
 
 NGRAM_JACCARD = r"""
 with recursive w as (
-  select doc_id, list_filter(regexp_split_to_array(
+  select doc_id, [x for x in regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'
-  ), x -> x <> '') as words from documents
+  ) if x <> ''] as words from documents
 ), s as (
   select doc_id, case when len(words) = 0 then [] when len(words) < 3 then [array_to_string(words, ' ')]
     else list_distinct([words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] for i in range(1, len(words) - 1)]) end as grams
@@ -102,7 +102,7 @@ from d
 TOP_K = """
 with v as (
   select vec_id, [cast(floor(64 * cast(x as double)) as bigint) for x in embedding] as g from embeddings
-  where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
 ), s as (
   select q.vec_id as query_id, c.vec_id as vec_id,
     cast(list_dot_product(cast(q.g as double[]), cast(c.g as double[])) as bigint) as score
