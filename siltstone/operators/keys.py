@@ -83,6 +83,6 @@ def enrich_left(df: DataFrame, lookup: DataFrame, key: str, values: Sequence[str
 
 
 def latest_partition(df: DataFrame, partition: str) -> DataFrame:
-    """Rows of the greatest partition value, found by a one-row join."""
-    newest = df.select(partition).distinct().agg(F.max(partition).alias("_newest"))
-    return df.crossJoin(F.broadcast(newest)).where(F.col(partition) == F.col("_newest")).drop("_newest")
+    """Rows of the greatest partition value. A scalar subquery finds it first, so only its folder is read."""
+    newest = df.select(F.col(partition).alias("_newest")).distinct().agg(F.max("_newest"))
+    return df.where(F.col(partition) == newest.scalar())

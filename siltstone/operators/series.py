@@ -106,8 +106,16 @@ def latest_summary(df: DataFrame, group: Sequence[str], order: Sequence[str], da
     )
 
 
+def set_positions(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str = "row_index") -> DataFrame:
+    """Rows that have a value, numbered from 0 in their group: what a fit, its error and a forecast are made from."""
+    return with_row_index(df.where(F.col(value).isNotNull()), group, order, name)
+
+
 def linear_fit(indexed: DataFrame, group: Sequence[str], value: str, row_index: str = "row_index", min_rows: int = 5, also: Sequence[Column] = ()) -> DataFrame:
-    """Least squares of ``value`` on the row index per group, for groups of at least ``min_rows``."""
+    """Least squares of ``value`` on the row index per group, for groups of at least ``min_rows`` set values.
+
+    Rows without a value are left out; ``set_positions`` numbers the others without gaps.
+    """
     return (
         indexed.groupBy(*group)
         .agg(
@@ -131,14 +139,16 @@ def fit_error(indexed: DataFrame, fit: DataFrame, group: Sequence[str], value: s
 
 
 def forecast(indexed: DataFrame, group: Sequence[str], date: str, value: str, days: int, row_index: str = "row_index") -> DataFrame:
-    """The ``days`` dates after each group's last one, with the fitted value at each."""
-    last = F.max(F.col(date).cast("date")).alias("_last")
-    fit = linear_fit(indexed, group, value, row_index, also=[last])
+    """The ``days`` dates after the last one that has a value in each group, with the fitted value at each."""
+    is_set = F.col(value).isNotNull()
+    last = F.max(F.when(is_set, F.col(date).cast("date"))).alias("_last")
+    place = F.max(F.when(is_set, F.col(row_index))).alias("_place")
+    fit = linear_fit(indexed, group, value, row_index, also=[last, place])
     steps = fit.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(days))))
     return steps.select(
         *group,
         F.date_add("_last", F.col("step")).alias("forecast_date"),
-        (F.col("slope") * (F.col("row_cnt") - 1 + F.col("step")) + F.col("intercept")).alias("forecast"),
+        (F.col("slope") * (F.col("_place") + F.col("step")) + F.col("intercept")).alias("forecast"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,12 +72,15 @@ def check_partitions(dates: Mapping[str, str], run_date: str) -> dict[str, list[
     return {**loaded, "dim_facility": [run_date], "dim_measure": [run_date]}
 
 
-def build(spark: SparkSession, raw: Mapping[str, DataFrame], inventory: DataFrame, root: str, run_date: str) -> DataFrame:
-    """Replace every curated table below ``root``, then check them; raises on the first failed check."""
+def build(spark: SparkSession, raw: Mapping[str, DataFrame], inventory: DataFrame, root: str, run_date: str, raw_roots: Sequence[str] = ()) -> DataFrame:
+    """Replace every curated table below ``root``, then check them; raises on the first failed check.
+
+    A table that would overlap one of ``raw_roots``, where the raw data lie, is refused.
+    """
     bound, dates = latest_raw(raw, inventory)
     for name in TABLES:
         df = curated_table(spark, name, bound.__getitem__, run_date)
-        replace_table(df, f"{root}/{name}", partition=None if name == "dim_date" else INGEST_DT)
+        replace_table(df, f"{root}/{name}", partition=None if name == "dim_date" else INGEST_DT, sources=raw_roots)
     stored = {name: spark.read.parquet(f"{root}/{name}") for name in check_partitions(dates, run_date)}
     results = run_checks(stored, check_partitions(dates, run_date))
     enforce(results)

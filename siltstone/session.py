@@ -31,11 +31,14 @@ def local_session(app: str = "siltstone", cpus: int | None = None) -> SparkSessi
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test) gets a temporary one.
+    Only a session that names none and runs in one process (a local test) gets a temporary one; on a
+    cluster each machine would write to a folder of its own, so there it is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="siltstone-")
         context.setCheckpointDir(folder)
     return folder

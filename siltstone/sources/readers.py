@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,9 +151,12 @@ def read_by_extension(spark: SparkSession, root: str) -> DataFrame:
     Any other file ending is refused, as is an empty folder.
     """
     ending = F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1))
-    found = {row[0] for row in list_files(spark, root).select(ending).distinct().limit(100).collect()}
-    if not found or found - {"csv", "json"}:
-        raise ValueError(f"Unsupported file format: {sorted(found - {'csv', 'json'}) or 'no files'}")
+    endings = list_files(spark, root).select(ending.alias("ending")).groupBy("ending").count()
+    known = F.col("ending").isin("csv", "json")
+    row = endings.agg(F.collect_set(F.when(known, F.col("ending"))), F.min(F.when(~known, F.col("ending")))).first()
+    found = set(row[0])  # at most the two known ones
+    if row[1] is not None or not found:
+        raise ValueError(f"Unsupported file format: {'no files' if row[1] is None else repr(row[1])}")
     source = F.col("_metadata.file_path").alias("source_file")
 
     def _read(kind: str) -> DataFrame:
@@ -181,7 +185,8 @@ def series_rows(df: DataFrame, document: str, series: Sequence[str], key: str =
     """JSON text holding one key-to-number object per series, as one row per key.
 
     Where all series list the same keys in the same order (the usual case) they are zipped by
-    position in one pass; otherwise each value is looked up by the first series' key.
+    position in one pass; otherwise each value is looked up by every key that any series lists, and is
+    NULL where its series lacks the key.
     """
     schema = T.StructType([T.StructField(s, T.MapType(T.StringType(), T.LongType())) for s in series])
     parsed = df.withColumn("_doc", F.from_json(document, schema))
@@ -193,8 +198,11 @@ def series_rows(df: DataFrame, document: str, series: Sequence[str], key: str =
         F.arrays_zip(keys.alias("k"), *(F.map_values(f"_doc.{s}").alias(s) for s in series)),
         lambda e: F.struct(e["k"].alias(key), *(e[s].alias(s) for s in series)),
     )
+    every = reduce(
+        F.array_union, (F.coalesce(F.map_keys(f"_doc.{s}"), F.array().cast("array<string>")) for s in series)
+    )
     looked_up = F.transform(
-        keys, lambda k: F.struct(k.alias(key), *(F.try_element_at(f"_doc.{s}", k).alias(s) for s in series))
+        every, lambda k: F.struct(k.alias(key), *(F.try_element_at(f"_doc.{s}", k).alias(s) for s in series))
     )
-    rows = parsed.withColumn("_row", F.explode(F.when(aligned, zipped).otherwise(looked_up)))
+    rows = parsed.withColumn("_row", F.explode(F.when(F.coalesce(aligned, F.lit(False)), zipped).otherwise(looked_up)))
     return rows.select(*df.columns, F.col(f"_row.{key}"), *(F.col(f"_row.{s}") for s in series))

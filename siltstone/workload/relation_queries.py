@@ -341,9 +341,6 @@ def _drop_duplicates(spark, sf_dir):
     return lines.dropDuplicates(["l_orderkey", "l_linenumber"])
 
 
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-
-
 @query(
     "wide_to_long",
     """select cast(cast(ts as date) as varchar) as day, event_type ticker, round(sum(value), 4) total, count(*) volume
@@ -351,16 +348,18 @@ from events group by 1, 2""",
 )
 def _wide_to_long(spark, sf_dir):
     """Daily figures with a column per event type and figure, back to a row per day and type."""
+    events = table(spark, sf_dir, "events")
+    types = sorted(row[0] for row in events.select("event_type").distinct().collect())  # as many as columns
     wide = (
-        table(spark, sf_dir, "events")
+        events
         .groupBy(F.col("ts").cast("date").alias("day"))
-        .pivot("event_type", list(EVENT_TYPES))
+        .pivot("event_type", types)
         .agg(F.round(F.sum("value"), 4).alias("total"), F.count("value").alias("volume"))
     )
     wide = wide.select(
-        "day", *(F.col(f"{t}_{m}").alias(f"{m}_{t}") for t in EVENT_TYPES for m in ("total", "volume"))
+        "day", *(F.col(f"{t}_{m}").alias(f"{m}_{t}") for t in types for m in ("total", "volume"))
     )
-    return series.bars_to_long(wide, "day", EVENT_TYPES, ("total", "volume"))
+    return series.bars_to_long(wide, "day", types, ("total", "volume"))
 
 
 @query(

@@ -11,7 +11,8 @@ from siltstone.workload.registry import query
 GROUP, ORDER = ["event_type"], ["ts", "event_id"]
 _INDEXED = """with i as (select event_id, event_type, ts, value,
   row_number() over (partition by event_type order by ts, event_id) - 1 n from events)"""
-_FIT = f"""{_INDEXED},
+_SET = _INDEXED.replace("from events", "from events where value is not null")
+_FIT = f"""{_SET},
 fit as (select event_type, count(*) row_cnt, regr_slope(value, n) m, regr_intercept(value, n) b,
   max(cast(ts as date)) last_day from i group by 1 having count(*) >= 5)"""
 
@@ -24,6 +25,10 @@ def _indexed(spark, sf_dir):
     return series.with_row_index(_events(spark, sf_dir), GROUP, ORDER)
 
 
+def _set(spark, sf_dir):
+    return series.set_positions(_events(spark, sf_dir), GROUP, ORDER, "value")
+
+
 @query(
     "moving_average",
     """select event_id, event_type, value,
@@ -74,13 +79,13 @@ def _latest_min_max(spark, sf_dir):
 
 @query("linear_fit", f"{_FIT} select event_type, row_cnt, round(m, 8) slope, round(b, 4) intercept from fit")
 def _fit(spark, sf_dir):
-    fit = series.linear_fit(_indexed(spark, sf_dir), GROUP, "value")
+    fit = series.linear_fit(_set(spark, sf_dir), GROUP, "value")
     return fit.select("event_type", "row_cnt", F.round("slope", 8).alias("slope"), F.round("intercept", 4).alias("intercept"))
 
 
 @query("fit_mae", f"{_FIT} select event_type, round(avg(abs(value - (m * n + b))), 4) mae from i join fit using (event_type) group by 1")
 def _mae(spark, sf_dir):
-    indexed = _indexed(spark, sf_dir)
+    indexed = _set(spark, sf_dir)
     error = series.fit_error(indexed, series.linear_fit(indexed, GROUP, "value"), GROUP, "value")
     return error.withColumn("mae", F.round("mae", 4))
 
@@ -91,5 +96,5 @@ def _mae(spark, sf_dir):
   round(m * (row_cnt - 1 + k) + b, 4) forecast from fit, unnest(generate_series(1, 14)) t(k)""",
 )
 def _forecast(spark, sf_dir):
-    ahead = series.forecast(_indexed(spark, sf_dir), GROUP, "ts", "value", 14)
+    ahead = series.forecast(_set(spark, sf_dir), GROUP, "ts", "value", 14)
     return ahead.withColumn("forecast", F.round("forecast", 4))
