@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,7 +35,8 @@ FILE_TOKENS = 8_000_000
 SHARD_TOKENS = 16_000_000
 #: Words a task remembers the ids of, in each of two generations.
 WORDS = 400_000
-LONGEST_WORD = 64
+#: Stops between an ASCII letter and white space or the end.
+_STOPS = re.compile(rb"(?<=[a-z])([.,;:!?]+)(?=[\x20\x09-\x0D]|\Z)")
 
 _DRAFTS = (
     "draft string, name string, file_bytes long, shard int, number int, docs long, tokens long, "
@@ -62,6 +64,11 @@ class Level:
     def goes_on(self, at: np.ndarray) -> np.ndarray:
         return (self.bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
 
+    def goes_on_between(self, lo: int, hi: int) -> np.ndarray:
+        """The same for positions from ``lo`` to before ``hi``."""
+        octets = self.bits[lo >> 6 : (hi - 1 >> 6) + 1].view(np.uint8)
+        return np.unpackbits(octets, bitorder="little")[lo & 63 : (lo & 63) + hi - lo].view(bool)
+
     def rank(self, at: np.ndarray) -> np.ndarray:
         """Set bits before each position."""
         words = RANK_EVERY // 64
@@ -106,6 +113,23 @@ class Codes:
         return out
 
 
+    def span(self, lo: int, hi: int) -> np.ndarray:
+        """The ids from ``lo`` to before ``hi``: each level's part is one run, found by one rank."""
+        if not 0 <= lo <= hi <= self.count:
+            raise IndexError("no such token")
+        out = np.zeros(hi - lo, dtype=np.uint32)
+        open_ = np.arange(hi - lo)
+        for k, level in enumerate(self.levels):
+            if lo == hi:
+                break
+            out[open_] |= level.chunks[lo:hi].astype(np.uint32) << np.uint32(CHUNK_BITS * k)
+            more = level.goes_on_between(lo, hi)
+            lo = int(level.rank(np.array([lo]))[0])
+            open_ = open_[more]
+            hi = lo + len(open_)
+        return out
+
+
 class TokenFile:
     """Documents of one file: their ids in order and their codes."""
 
@@ -145,7 +169,7 @@ class TokenFile:
 
     def tokens(self, document: int) -> np.ndarray:
         """Ids of the n-th document of the file."""
-        return self.codes.get(np.arange(self.starts[document], self.starts[document + 1]))
+        return self.codes.span(int(self.starts[document]), int(self.starts[document + 1]))
 
 
 # --- encoding texts -------------------------------------------------------------------------------
@@ -157,6 +181,9 @@ class WordEncoder:
     Such a tokenizer gives a text the ids of its words in a row. Words are parted at the six ASCII white
     space bytes only, all of which the tokenizer treats as white space, and looked up in a bounded memory
     of two generations; new ones are encoded by the tokenizer, many at once.
+
+    Where the tokenizer lower-cases and keeps letters apart from punctuation (``folds``), words that differ
+    in A-Z or in stops at their end share an entry.
     """
 
     def __init__(self, path: str):
@@ -164,9 +191,27 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content.encode("utf-8").lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.folds = self._folds()
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def _folds(self) -> bool:
+        """Whether case and the gap before a stop make no difference, by trial on every letter."""
+        letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+        pairs = [(f"{a.upper()}{b}{s}", f"{a}{b} {s}") for a in letters for b in letters for s in (".", ",", "!?")]
+        ids = [[e.ids for e in self.tokenizer.encode_batch_fast(list(side), add_special_tokens=False)] for side in zip(*pairs)]
+        return ids[0] == ids[1]
+
+    def cut(self, text: str | None) -> list[bytes]:
+        data = text.encode("utf-8", "replace") if text else b""
+        # The marks U+0300 to U+037F may join a capital otherwise than its small letter.
+        if self.folds and b"\xcc" not in data and b"\xcd" not in data:
+            low = data.lower()
+            if not any(s in low for s in self.special):
+                data = _STOPS.sub(rb" \1", low)
+        return data.split()
+
     def learn(self, words: set[bytes]) -> None:
         if len(self.young) + len(words) > WORDS:
             self.old, self.young = self.young, {}
@@ -183,12 +228,17 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers; none for NULL."""
-        cut = [t.encode("utf-8", "replace").split() if t else [] for t in texts]
-        whole = {w for words in cut for w in words}
-        known = {w: self.young[w] for w in whole if w in self.young}
-        self.learn({w for w in whole if w not in known})
-        known.update((w, self.young[w]) for w in whole if w not in known)
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
+        cut = [self.cut(t) for t in texts]
+        known = self.young
+        found = [list(map(known.get, words)) for words in cut]
+        missing = {w for words, ids in zip(cut, found) if None in ids for w, i in zip(words, ids) if i is None}
+        if missing:
+            self.learn(missing)
+            fresh = self.young
+            for words, ids in zip(cut, found):
+                if None in ids:
+                    ids[:] = [fresh[w] if i is None else i for w, i in zip(words, ids)]
+        return [b"".join(ids) for ids in found]
 
 
 def _encoded(path: str, end_id: int, narrow: bool):
