@@ -118,8 +118,8 @@ def shard_documents(
     """All rows in ``shards`` runs along the curve, their row counts at most one apart.
 
     Reads doc_id and text. ``dimensions`` are the columns to order by, language, source and size of the
-    text unless told otherwise. Returns doc_id, size (UTF-8 bytes of the text plus 8), text_crc32 (NULL for a
-    NULL text), law (``rows``), shard from 0, slot in the shard from 0 without gaps, grown_shard (NULL: under
+    text unless told otherwise. Returns doc_id, size (UTF-8 bytes of the text plus 8), text_crc32 (0 for a
+    NULL text, which has no bytes), law (``rows``), shard from 0, slot in the shard from 0 without gaps, grown_shard (NULL: under
     this law more shards move many rows), curve, and the columns in ``carry``. Rows at one place of the curve
     are ordered by checksum and doc_id, so equal texts stand together. NULLs come first; a NULL text has size
     8. Fewer rows than shards leave shards empty. No row in gives no row out.
@@ -133,7 +133,7 @@ def shard_documents(
     keyed = docs.select(
         F.col("doc_id").alias("_id"),
         size.alias("_size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("_crc"),
+        F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).alias("_crc"),
         *(ordered_number(c, kinds[n]).alias(n) for n, c in zip(names, dimensions.values())),
         F.struct(*(F.col(f"`{c}`") for c in carry)).alias("_carry") if carry else F.lit(None).cast("int").alias("_carry"),
     )
