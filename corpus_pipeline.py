@@ -33,7 +33,7 @@ def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return queries.mixed(docs).where("mix_kept").select(*docs.columns)
+    return queries.mixed(queries.measured(docs)).where("mix_kept").select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import dac, hilbert, lines, mixing, ngram_join, sql, templates, topk, toxicity, urls, warc
-from siltstone.session import fresh_path
+from siltstone.session import fresh_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,16 +82,21 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    measured = docs.withColumns(
+def measured(docs: DataFrame) -> DataFrame:
+    return docs.withColumns(
         {"mix_tokens": mixing.token_count(F.col("text")), "topic": mixing.topic_of(F.col("text"))}
     )
-    return mixing.mix(measured, MIX_TARGETS, MIX_BUDGET, seed=MIX_SEED)
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    return mixing.mix(docs, MIX_TARGETS, MIX_BUDGET, seed=MIX_SEED)
 
 
 @query("op5_mix_to_targets")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    docs = measured(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
+    # Narrow rows, written: texts are measured once, not for the cells and again for the draw.
+    docs = written(docs.drop("text"), "mixing-measured")
     return mixed(docs).select(
         "doc_id", "source", "lang", "topic", "mix_tokens", "mix_weight", "mix_probability", "mix_kept"
     )
