@@ -178,6 +178,31 @@ def test_templates_find_new_values_only_if_consistent(spark):
     assert templates.keep_uncontaminated(docs, items.limit(0)).count() == docs.count()
 
 
+def test_templates_find_copies_whatever_their_case_and_slots(spark):
+    cats = "in Paris. The cat sat on a mat near Oslo. The dog ran by"
+    bench = [
+        (1, "the quick brown fox jumps over a lazy dog while seven small birds watch it"),
+        (2, "Compute 12, 15, 18, 21, 24, 27, 30, 33, 36, 39, 42, 44 and 45"),
+        (3, cats),
+        (4, "Tom had 12 pears and ate some of them on a warm day by the old mill with his 12 friends"),
+        (5, "who wrote it"), (6, "seven plus 8 is what number"), (7, "..."),
+    ]
+    rows = [
+        (201, "BEFORE IT. " + bench[0][1].upper() + " AND AFTER"), (202, bench[0][1].title()),
+        (203, "so " + bench[1][1] + "."), (204, cats.replace(".", "")),
+        # A copy but for its last value.
+        (205, bench[3][1].replace("his 12", "his 19")),
+        (206, "I asked Who Wrote It, who wrote it"), (207, "SEVEN PLUS 8 IS WHAT NUMBER"), (208, "seven plus 9 is what number"),
+        (209, "who wrote"), (210, None),
+    ]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    found = [(r.doc_id, r.item_id, r.replaced) for r in templates.contaminated(_docs(spark, rows), items).collect()]
+    assert {(d, i) for d, i, _ in found} == {
+        (201, 1), (202, 1), (203, 2), (204, 3), (205, 4), (206, 5), (207, 6)
+    }
+    assert len(found) == 7 and all(replaced == 0 for _, _, replaced in found)
+
+
 def test_toxicity_cases(spark):
     docs = _docs(spark)
     empty = spark.createDataFrame([], "doc_id long, toxic int, quality int")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections import Counter
 
@@ -79,6 +80,21 @@ def test_benchmark_passages_are_found(spark):
     assert copies <= found
 
 
+def test_benchmark_runs_are_found_whatever_their_case(spark):
+    found = {(r.doc_id, r.item_id) for r in queries.QUERIES["op3_template_decontamination"](spark, SF_DIR).collect()}
+    runs = {}
+    for item in _table("benchmark"):
+        words = re.findall(r"[^\W_]+", (item["text"] or "").casefold())
+        for at in range(len(words) - 12):
+            runs.setdefault(tuple(words[at : at + 13]), set()).add(item["item_id"])
+    held = set()
+    for d in _table("documents"):
+        words = re.findall(r"[^\W_]+", (d["text"] or "").casefold())
+        for at in range(len(words) - 12):
+            held |= {(d["doc_id"], item) for item in runs.get(tuple(words[at : at + 13]), ())}
+    assert held <= found
+
+
 def test_mixing_keeps_every_row_and_a_fixed_draw(spark):
     rows = queries.QUERIES["op5_mix_to_targets"](spark, SF_DIR).collect()
     assert sorted(r.doc_id for r in rows) == sorted(d["doc_id"] for d in _table("documents"))
