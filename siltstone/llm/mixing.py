@@ -23,6 +23,8 @@ CELLS = 100_000
 SWEEPS = 4
 LOOKS = 25
 TOLERANCE = 1e-6
+#: A mapping whose shares leave less than this leaves nothing.
+LEFT = 1e-9
 
 Target = Mapping[str | None, float] | float
 
@@ -51,19 +53,28 @@ def _shares(cells: DataFrame, name: str, target: Target) -> DataFrame:
     """(value, share) of one margin, shares adding up to 1 over the values that occur.
 
     A number tempers the present shares: their power, 1 as they are, 0 all equal. A mapping gives shares by
-    value; values it does not name divide what is left in proportion to their tokens.
+    value; values it does not name divide what is left in proportion to their tokens. If it leaves nothing,
+    they keep their present shares and the named ones divide the rest: only a value named with share 0 is
+    left out.
     """
     present = cells.groupBy(F.col(name).alias("value")).agg(F.sum("tokens").alias("tokens"))
     if isinstance(target, Mapping):
         if any(share < 0 for share in target.values()):
             raise ValueError("a share is negative")
-        left = max(0.0, 1.0 - sum(target.values()))
+        given = sum(target.values())
+        left = 1.0 - given
         named = F.lit(None).cast("double")
         for value, share in target.items():
             named = F.when(F.col("value").eqNullSafe(F.lit(value)), F.lit(float(share))).otherwise(named)
         present = present.withColumn("named", named)
-        unnamed = present.agg(F.sum(F.when(F.col("named").isNull(), F.col("tokens"))).alias("t")).first()[0] or 1
-        raw = F.coalesce("named", F.lit(left) * F.col("tokens") / F.lit(float(unnamed)))
+        row = present.agg(
+            F.sum(F.when(F.col("named").isNull(), F.col("tokens"))).alias("unnamed"), F.sum("tokens").alias("all")
+        ).first()
+        unnamed, scale = row["unnamed"] or 1, 1.0
+        if left < LEFT and row["unnamed"]:
+            left = unnamed / row["all"]
+            scale = (1.0 - left) / given if given else 1.0
+        raw = F.coalesce(F.col("named") * F.lit(scale), F.lit(left) * F.col("tokens") / F.lit(float(unnamed)))
     else:
         raw = F.pow(F.col("tokens").cast("double"), F.lit(float(target)))
     shares = present.where("tokens > 0").select("value", raw.alias("raw"))

@@ -233,6 +233,23 @@ def test_raking_meets_its_margins(spark):
     assert mixing.mix(docs.limit(0), targets, 0.2).count() == 0
 
 
+def test_mixing_keeps_languages_without_a_target(spark):
+    langs = ["en", "de", "fr", "es", "it", None]
+    rows = [(i, langs[i % 6], f"s{i % 2}", "prose", 10 + i % 7) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, topic string, mix_tokens long")
+    found = queries.mixed(docs).collect()
+    assert len(found) == len(rows) and all(r.mix_probability > 0 for r in found)
+    assert {r.lang for r in found if r.mix_kept} == set(langs)
+    total = sum(r[4] for r in rows)
+    now = {x: sum(r[4] for r in rows if r[1] == x) / total for x in langs}
+    share = {x: sum(r.mix_weight * r.mix_tokens for r in found if r.lang == x) / total for x in langs}
+    rest = 1 - now["it"] - now[None]
+    expected = now | {x: rest * s for x, s in queries.MIX_TARGETS["lang"].items()}
+    assert share == pytest.approx(expected, abs=1e-4)
+    named = {"lang": {"en": 1.0, "it": 0.0}}
+    assert {r.mix_probability for r in mixing.mix(docs, named, 0.2).collect() if r.lang == "it"} == {0.0}
+
+
 def test_hilbert_curve_takes_single_steps(spark):
     cells = spark.range(64).select((F.col("id") % 8).alias("x"), F.floor(F.col("id") / 8).alias("y"))
     rows = cells.select("x", "y", hilbert.hilbert_index([F.col("x"), F.col("y")], 3).alias("at")).collect()
