@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import dac, hilbert, lines, mixing, ngram_join, sql, templates, topk, toxicity, urls, warc
+from siltstone.llm import (
+    alignment,
+    dac,
+    hilbert,
+    lines,
+    mixing,
+    ngram_join,
+    phrases,
+    pieces,
+    sql,
+    templates,
+    topk,
+    toxicity,
+    urls,
+    warc,
+)
 from siltstone.session import fresh_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +42,8 @@ MIX_TARGETS = {"source": 0.7, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es":
 MIX_BUDGET = 0.5
 MIX_SEED = 17
 TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 END_ID = 1
 
 
@@ -44,10 +61,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 @query("op1_url_filter", sql.URL_FILTER)
@@ -131,3 +148,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "tokens")
     dac.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer_path(), END_ID)
     return dac.digest_tokens(spark, folder)
+
+
+@query("op11_piece_spans")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest_documents(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
+
+
+@query("op12_phrase_graph", sql.PHRASES)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf_dir, "documents"), least=30, limit=2_000)
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align_corpus(docs, tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECE_MODEL))[0]

@@ -128,3 +128,34 @@ select k.doc_id, count(*) as n_lines, count(o.key) as n_dropped,
   sha256(coalesce(string_agg(k.line, chr(10) order by k.at) filter (where o.key is null), '')) as kept_sha256
 from k left join often o on o.key = k.key group by k.doc_id
 """
+
+
+PHRASES = """with pieces as (
+  select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\n\x0B\f\r]')) piece
+  from documents),
+split as (select lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') w from pieces),
+grams as (
+  select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) phrase
+  from split, (values (1), (2), (3), (4)) s(k) where len(w) >= k),
+counts as (select lang, k, phrase, count(*) f from grams group by all),
+totals as (select lang, cast(sum(f) as bigint) n from counts where k = 1 group by 1),
+candidates as (select lang, k, phrase, f a from counts where k > 1 and f >= 30),
+longer as (
+  select lang, a, unnest(list_transform(range(1, k - j + 2), lambda i: array_to_string(string_split(phrase, ' ')[i:i + j - 1], ' '))) phrase
+  from candidates, (values (2), (3)) s(j) where j < k),
+covers as (select lang, phrase, max(a) cover from longer group by all),
+free as (select c.* from candidates c left join covers v on c.lang = v.lang and c.phrase = v.phrase
+  where v.cover is null or 100 * v.cover < 80 * c.a),
+cuts as (
+  select lang, phrase, a, j, array_to_string(string_split(phrase, ' ')[1:j], ' ') head,
+    array_to_string(string_split(phrase, ' ')[j + 1:k], ' ') tail
+  from free, (values (1), (2), (3)) s(j) where j < k),
+scored as (
+  select c.lang, c.phrase, c.a, h.f l, t.f r,
+    cast((cast(2000000 as hugeint) * c.a) // (cast(h.f as hugeint) + t.f) as bigint) score, j
+  from cuts c join counts h on h.lang = c.lang and h.phrase = c.head join counts t on t.lang = c.lang and t.phrase = c.tail),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from lowest)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000"""
