@@ -23,6 +23,7 @@ import heapq
 import itertools
 import os
 import random
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +46,13 @@ RUN_ROWS = 1 << 18
 BLOCK_RECORDS = 1 << 16
 FAN_IN = 24
 
+#: Words a task remembers the ids of, in each of two generations.
+WORDS = 120_000
+
 _BYTE_PIECE = 6
+# A blank between two characters that no reading of white space includes: byte-level tokens end before it.
+_GAP = re.compile(r"(?<=[^\s\u180e]) (?=[^\s\u180e])")
+_EDGE = re.compile(r"[\s\u180e]")
 
 
 # --- one text under both tokenizers ------------------------------------------------------------------
@@ -74,6 +81,69 @@ def token_bytes_b(model: Model) -> list[bytes]:
     ]
 
 
+class _WordIds:
+    """Ids of a blank and a text by a byte-level tokenizer, word by word.
+
+    Its tokens start anew at every blank between two other characters, so the words' ids in a row are the text's.
+    Words are looked up in a bounded memory of two generations; new ones are encoded many in a row, and their ids
+    parted by the bytes they spell. What has white space at an edge is not remembered.
+    """
+
+    def __init__(self, tokenizer, spelt: list[bytes], sizes: np.ndarray):
+        self.tokenizer, self.spelt, self.sizes = tokenizer, spelt, sizes
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _encoded(self, words: list[str], apart: bool) -> Iterator[tuple[str, bytes]]:
+        """Ids of each word with a blank before it, in texts of many words or each ``apart``."""
+        step = 1 if apart else 500
+        texts = ["".join([" " + w for w in words[i : i + step]]) for i in range(0, len(words), step)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(itertools.chain.from_iterable(ids), dtype="<u4")
+        if b"".join(map(self.spelt.__getitem__, flat.tolist())) != "".join(texts).encode("utf-8", "replace"):
+            raise ValueError("the tokens of side A do not spell its texts: it has to be a byte-level tokenizer")
+        ends = np.cumsum(self.sizes[flat])
+        stops = np.cumsum([len(w.encode("utf-8", "replace")) + 1 for w in words])
+        at = np.searchsorted(ends, stops)
+        if not np.array_equal(ends[np.minimum(at, len(ends) - 1)], stops):
+            raise ValueError("the byte-level tokenizer does not keep words apart")
+        data, places = flat.tobytes(), ((at + 1) * 4).tolist()
+        return zip(words, (data[lo:hi] for lo, hi in zip([0, *places[:-1]], places)))
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.young) + len(words) > WORDS:
+            self.old, self.young = self.young, {}
+        new = []
+        for word in words:
+            held = self.old.get(word)
+            if held is None:
+                new.append(word)
+            else:
+                self.young[word] = held
+        if new:
+            self.young.update(self._encoded(new, apart=False))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [t.split(" ") for t in texts]
+        new = {w for w in set().union(*cut) if w not in self.young}
+        edged: dict[str, bytes] = {}
+        loose = {w for w in new if not w or _EDGE.match(w[0]) or _EDGE.match(w[-1])}
+        if loose:
+            cut = [words if loose.isdisjoint(words) else _GAP.split(t) for words, t in zip(cut, texts)]
+            apart = {w for words in cut for w in words if not w or _EDGE.match(w[0]) or _EDGE.match(w[-1])}
+            edged = dict(self._encoded(sorted(apart), apart=True))
+        for _ in range(2):  # again if a new generation has begun
+            missing = {w for w in set().union(*cut) if w not in self.young and w not in edged}
+            if missing:
+                self._learn(missing)
+        found = self.young
+        if edged:
+            return [
+                np.frombuffer(b"".join([edged[w] if w in edged else found[w] for w in words]), dtype="<u4") for words in cut
+            ]
+        return [np.frombuffer(b"".join(map(found.__getitem__, words)), dtype="<u4") for words in cut]
+
+
 class Aligned:
     """Documents of one call that have tokens, one after the other."""
 
@@ -130,6 +200,7 @@ class Aligner:
             raise ValueError("a vocabulary is too large for the records")
         self.sizes_a = np.array([len(x) for x in self.bytes_a])
         self.sizes_b = np.array([len(x) for x in self.bytes_b])
+        self.words = _WordIds(self.a, self.bytes_a, self.sizes_a)
         spelt = [str(i).encode() for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
         width = len(spelt[-1]) + 1
         self.decimal = np.frombuffer(b"".join(s.ljust(width) for s in spelt), dtype=np.uint8).reshape(-1, width)
@@ -141,17 +212,18 @@ class Aligner:
         given = [texts[i] for i in rows]
         if not rows:
             return None
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in given], add_special_tokens=False)]
+        a = self.words.encode(given)
         b = self.b.encode(given, num_threads=1)
         source = [b" " + t.encode("utf-8", "replace") for t in given]
-        spell_a, spell_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        same = [b"".join(map(spell_a, x)) == s and b"".join(map(spell_b, y)) == s for x, y, s in zip(a, b, source)]
+        # Side A spells every word of a text, or has raised an error.
+        spell = self.bytes_b.__getitem__
+        same = [b"".join(map(spell, y)) == s for y, s in zip(b, source)]
         if not all(same):
             rows, a, b, source = ([x for x, ok in zip(side, same) if ok] for side in (rows, a, b, source))
         if not rows:
             return None
         n_a, n_b = np.array(list(map(len, a))), np.array(list(map(len, b)))
-        flat_a = np.fromiter(itertools.chain.from_iterable(a), dtype=np.int64, count=int(n_a.sum()))
+        flat_a = np.concatenate(a).astype(np.int64)
         flat_b = np.fromiter(itertools.chain.from_iterable(b), dtype=np.int64, count=int(n_b.sum()))
         edges = np.concatenate([[0], np.cumsum([len(s) for s in source])])
         return Aligned(
@@ -370,7 +442,8 @@ def align_corpus(docs: DataFrame, a_path: str, b_path: str, run_links: int = RUN
     pairs, added up) and groups_sha256 (digest of ``a1,a2|b1;a3|b2,b3``, '' without tokens). The second has b, a, n
     and best of every linked pair.
 
-    NULL and empty texts, and texts that one side does not spell byte by byte, have no tokens and no links: zeros.
+    NULL and empty texts, and texts that side B does not spell byte by byte, have no tokens and no links: zeros. A side A
+    that is not a byte-level tokenizer is an error.
     Rows are told apart by where they lie, so NULL and repeated doc_ids keep a row each with its own figures; other
     columns are ignored; no row gives empty tables.
     """
