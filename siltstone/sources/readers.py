@@ -11,17 +11,13 @@ from pyspark.sql import types as T
 
 from siltstone.functions.cleaning import COMPACT_DATE, parse_date
 from siltstone.session import written
+from siltstone.sources import tasks
+from siltstone.sources.files import ending_of, list_files
 from siltstone.sources.schemas import INGEST_DT, INVENTORY, MANIFEST, RAW_COLUMNS, text_schema
 
 # Manifest lists in order of precedence.
 MANIFEST_LISTS = ("files", "skipped_unchanged", "files_uploaded", "all_files")
 
-# The bytes where windows-1252 and ISO-8859-1 differ, taken from the codec itself.
-_CP1252_BYTES = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
-_LATIN1_CHARS = "".join(map(chr, _CP1252_BYTES))
-_CP1252_CHARS = bytes(_CP1252_BYTES).decode("cp1252")
-
-
 # No cell holds this text, so that a quoted empty cell stays '' instead of becoming NULL.
 _NO_NULL_TEXT = "\x00"
 
@@ -99,86 +95,135 @@ def read_inventory(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INVENTORY).option("mode", "PERMISSIVE").json(path)
 
 
+#: Bytes of a file that one task reads records from.
+BLOCK_BYTES = 16 << 20
+
+
+def _file_blocks(files: DataFrame, block_bytes: int) -> DataFrame:
+    """One row per block of each file, dealt out one block a task; files without a byte have none."""
+    size = F.col("size_bytes")
+    first = F.explode(F.sequence(F.lit(0).cast("long"), size - 1, F.lit(block_bytes).cast("long"))).alias("lo")
+    blocks = files.where(size > 0).select("path", "size_bytes", first)
+    blocks = written(blocks.withColumn("hi", F.least(F.col("lo") + block_bytes, size)), "file-blocks")
+    return blocks.repartition(max(1, blocks.count()), "path", "lo")
+
+
+def _csv_records(spark: SparkSession, files: DataFrame, block_bytes: int) -> tuple[DataFrame, list[list[str]]]:
+    """(path, header_id, cells) of every record of the files, and the distinct headers."""
+    blocks = _file_blocks(files, block_bytes)
+    facts = blocks.mapInPandas(
+        tasks.csv_facts, "path string, lo long, utf8 boolean, header binary, from_outside boolean, from_inside boolean"
+    )
+    states = written(
+        facts.groupBy("path").applyInPandas(
+            tasks.csv_states, "path string, lo long, inside boolean, utf8 boolean, header binary"
+        ),
+        "csv-states",
+    )
+    # One row per distinct header, not per file.
+    found = states.where("lo = 0").groupBy("header", "utf8").agg(F.min("path").alias("path")).orderBy("path").collect()
+    headers = [tasks.header_cells(bytes(row["header"]), row["utf8"]) for row in found]
+    known = spark.createDataFrame(
+        [(i, bytes(row["header"]), row["utf8"]) for i, row in enumerate(found)], "header_id int, header binary, utf8 boolean"
+    )
+    placed = blocks.join(states.join(known, ["header", "utf8"]).drop("header"), ["path", "lo"])
+    dealt = placed.repartition(max(1, states.count()), "path", "lo")
+    return dealt.mapInPandas(tasks.csv_rows, "path string, header_id int, cells array<string>"), headers
+
+
+def _by_header(records: DataFrame, headers: list[list[str]], kept: dict[str, str]) -> DataFrame:
+    """A column for each name of any header, filled from where the record's own header has it.
+
+    The first of two columns of one name counts. ``kept`` renames columns of ``records`` to carry along.
+    """
+    places: dict[str, dict[int, int]] = {}
+    for i, header in enumerate(headers):
+        for place, name in enumerate(header):
+            places.setdefault(name, {}).setdefault(i, place)
+
+    def cell(name: str) -> Column:
+        by_place: dict[int, list[int]] = {}
+        for header, place in places[name].items():
+            by_place.setdefault(place, []).append(header)
+        value = F.lit(None).cast("string")
+        for place, owners in by_place.items():
+            value = F.when(F.col("header_id").isin(owners), F.get("cells", F.lit(place))).otherwise(value)
+        return value.alias(name)
+
+    carried = [F.col(c).alias(name) for c, name in kept.items()]
+    return records.select(*(cell(name) for name in places), *carried)
+
+
 def read_csv_any_encoding(
-    spark: SparkSession, path: str, *, date_columns: Mapping[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    date_columns: Mapping[str, str] | None = None,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """CSV files that are UTF-8, or windows-1252 where a file is not valid UTF-8.
+    """CSV files below ``path`` that are UTF-8, or windows-1252 where a file is not valid UTF-8.
+
+    Quotes are doubled inside of quotes, and cells may hold line breaks. Each file has its own header, and columns
+    meet by name; a file without a column gives NULL. Files are cut into blocks: a first pass finds how each
+    block turns the state inside or outside of quotes, the states are combined block after block, and then each task
+    reads the records that begin in its block. A file's encoding is the verdict over all its blocks.
 
-    Every byte is first read as one ISO-8859-1 character, which keeps the files splittable. A file's
-    verdict is the conjunction over its lines (a UTF-8 sequence never spans a line end). Text is then
-    decoded per file. Columns stay text, but for those in ``date_columns`` (name to pattern).
+    Columns stay text, but for those in ``date_columns`` (name to pattern). An unquoted empty cell is NULL, a quoted
+    one ``''``; cells a short record lacks are NULL, and cells beyond the header are left out. Blank lines are no records.
     """
     date_columns = {"WorkDate": COMPACT_DATE} if date_columns is None else date_columns
-    # Only the exceptions, written so that the join to all rows is planned by their true size.
-    verdict = written(
-        spark.read.text(path)
-        .select(F.col("_metadata.file_path").alias("_file"), F.is_valid_utf8("value").alias("ok"))
-        .groupBy("_file")
-        .agg(F.min("ok").alias("_utf8"))
-        .where(~F.col("_utf8")),
-        "encodings",
+    records, headers = _csv_records(spark, list_files(spark, path, ("csv",)), block_bytes)
+    df = _by_header(records, headers, {})
+    return df.select(
+        *(parse_date(F.col(f"`{c}`"), date_columns[c]).alias(c) if c in date_columns else F.col(f"`{c}`") for c in df.columns)
     )
-    latin = _csv(spark).option("encoding", "ISO-8859-1")
-    names = latin.csv(path).columns
-    rows = latin.schema(text_schema(tuple(names), None)).csv(path)
-    data = rows.select("*", F.col("_metadata.file_path").alias("_file")).join(verdict, "_file", "left")
 
-    def decoded(name: str) -> Column:
-        raw = F.col(f"`{name}`")
-        as_utf8 = F.decode(F.encode(raw, "ISO-8859-1"), "UTF-8")
-        text = F.when(F.col("_utf8").isNull(), as_utf8).otherwise(F.translate(raw, _LATIN1_CHARS, _CP1252_CHARS))
-        if name in date_columns:
-            text = parse_date(text, date_columns[name])
-        return text.alias(name)
 
-    return data.select(*(decoded(name) for name in names))
-
-
-def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Path and size of every file below ``root``; the content is not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(root)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("length").alias("size_bytes"))
+def _json_objects(files: DataFrame, block_bytes: int) -> DataFrame:
+    """(path, fields) of every object of the files, fields as (name, text) in their order."""
+    blocks = _file_blocks(files, block_bytes)
+    facts = blocks.mapInPandas(
+        tasks.json_facts,
+        "path string, lo long, utf8 boolean, first string, from_outside boolean, from_inside boolean, "
+        "deeper_outside long, deeper_inside long",
     )
+    states = written(
+        facts.groupBy("path").applyInPandas(
+            tasks.json_states, "path string, lo long, inside boolean, depth long, utf8 boolean, first string"
+        ),
+        "json-states",
+    )
+    dealt = blocks.join(states, ["path", "lo"]).repartition(max(1, states.count()), "path", "lo")
+    return dealt.mapInPandas(tasks.json_rows, "path string, fields map<string, string>")
 
 
-def read_by_extension(spark: SparkSession, root: str) -> DataFrame:
-    """All CSV and JSON files below ``root`` as one text frame with the file they came from.
+def read_by_extension(spark: SparkSession, root: str, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """All CSV and JSON files below ``root`` as one text frame with the file they came from (``source_file``).
 
-    Any other file ending is refused, as is an empty folder.
+    CSV is read as by ``read_csv_any_encoding``. A JSON file is one array of objects, or objects one after the other;
+    it is cut into blocks as well, by string state and depth, so an array is never one row. Numbers keep their
+    spelling, nested values are JSON text. Columns meet by name. Any other file ending is refused, as is an empty folder.
+    Files whose names begin with ``_`` or ``.``, as Spark's own markers do, are not looked at.
     """
-    ending = F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1))
-    endings = list_files(spark, root).select(ending.alias("ending")).groupBy("ending").count()
+    files = written(list_files(spark, root).where(~F.col("path").rlike(r"/[._][^/]*$")), "files")
+    endings = files.select(ending_of("path").alias("ending")).groupBy("ending").count()
     known = F.col("ending").isin("csv", "json")
     row = endings.agg(F.collect_set(F.when(known, F.col("ending"))), F.min(F.when(~known, F.col("ending")))).first()
     found = set(row[0])  # at most the two known ones
     if row[1] is not None or not found:
         raise ValueError(f"Unsupported file format: {'no files' if row[1] is None else repr(row[1])}")
-    source = F.col("_metadata.file_path").alias("source_file")
-
-    def _read(kind: str) -> DataFrame:
-        reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", _any_case(kind))
-        df = (
-            reader.option("header", True).csv(root)
-            if kind == "csv"
-            else reader.option("primitivesAsString", True).json(root)
+    frames = []
+    if "csv" in found:
+        records, headers = _csv_records(spark, files.where(ending_of("path") == "csv"), block_bytes)
+        frames.append(_by_header(records, headers, {"path": "source_file"}))
+    if "json" in found:
+        objects = written(_json_objects(files.where(ending_of("path") == "json"), block_bytes), "json-objects")
+        names = objects.select(F.posexplode(F.map_keys("fields"))).groupBy("col").agg(F.min("pos").alias("pos"))
+        columns = [r["col"] for r in names.orderBy("pos", "col").collect()]  # one row per column
+        frames.append(
+            objects.select(*(F.try_element_at("fields", F.lit(c)).alias(c) for c in columns), F.col("path").alias("source_file"))
         )
-        return df.select("*", source)
-
-    first, *rest = [_read(kind) for kind in ("csv", "json") if kind in found]
-    for df in rest:
-        first = first.unionByName(df, allowMissingColumns=True)
-    return first
-
-
-def _any_case(ending: str) -> str:
-    return "*." + "".join(f"[{c.lower()}{c.upper()}]" for c in ending)
-
-
-DATA_FILES = "*.{" + ",".join(_any_case(e)[2:] for e in ("csv", "json")) + "}"
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def series_rows(df: DataFrame, document: str, series: Sequence[str], key: str = "date") -> DataFrame:

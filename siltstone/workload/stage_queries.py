@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from siltstone.operators.incremental import Run, detect_changes, inventory, merge_state
 from siltstone.plans import models
+from siltstone.plans.ingest import ingest_folder
 from siltstone.session import fresh_path
 from siltstone.sinks import writers
-from siltstone.sources import readers
+from siltstone.sources import readers, tasks
 from siltstone.sources.files import hash_files
 from siltstone.sources.schemas import INGEST_DT, RAW_COLUMNS
 from siltstone.workload.inputs import LANDED, RUN_DATE, RUN_TS, ctes, derived, raw, table
@@ -136,54 +137,106 @@ DOCS_PER_FILE = 50
 
 @query(
     "src_files_hashed",
-    f"""select cast(doc_id // {DOCS_PER_FILE} as varchar) bucket,
-  cast(sum(strlen(text) + 1) as bigint) size_bytes,
-  sha256(string_agg(text || chr(10), '' order by doc_id)) sha256
-from documents group by 1""",
+    f"""with b as (select doc_id // {DOCS_PER_FILE} n, cast(sum(strlen(text) + 1) as bigint) size_bytes,
+    sha256(string_agg(text || chr(10), '' order by doc_id)) sha256 from documents group by 1)
+select cast(n as varchar) bucket, size_bytes, sha256 from b
+union all select 'all', cast(sum(strlen(text) + 1) as bigint), sha256(string_agg(text || chr(10), '' order by doc_id)) from documents
+union all select 'empty', cast(0 as bigint), sha256('') from (select 1) one""",
 )
 def _files_hashed(spark, sf_dir):
-    """Documents as text files of at most ``DOCS_PER_FILE`` each; every file's size and hash."""
+    """Documents as text files of at most ``DOCS_PER_FILE`` each, one file of all of them, and an empty one."""
     path = fresh_path(spark, "files")
     documents = table(spark, sf_dir, "documents").select(
-        "doc_id", "text", F.floor(F.col("doc_id") / DOCS_PER_FILE).alias("bucket")
+        "doc_id", "text", F.floor(F.col("doc_id") / DOCS_PER_FILE).cast("string").alias("bucket")
     )
     placed = documents.repartition("bucket").sortWithinPartitions("bucket", "doc_id").drop("doc_id")
     placed.write.partitionBy("bucket").text(path)
-    hashed = hash_files(spark, path, "*.txt")
-    return hashed.select(F.regexp_extract("path", "bucket=([0-9]+)", 1).alias("bucket"), "size_bytes", "sha256")
+    documents.coalesce(1).sortWithinPartitions("doc_id").select("text").write.text(f"{path}/bucket=all")
+    _put(spark, [(f"{path}/bucket=empty/part-0.txt", b"")])
+    hashed = hash_files(spark, path, ("txt",))
+    return hashed.select(F.regexp_extract("path", "bucket=([a-z0-9]+)", 1).alias("bucket"), "size_bytes", "sha256")
 
 
-_LATIN = "regexp_replace(text, '[^ -~À-ÿ]', ' '%s)"
+def _put(spark, files):
+    """Write a few small files below the shared folder."""
+    for target, data in files:
+        system, inner = tasks.open_path(target)
+        system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(inner, compression=None) as out:
+            out.write(data)
+
+
+def _text_files(lines, path, ending, encoding="utf-8", head="", between="\n", tail="\n"):
+    """The rows of ``lines`` (one text column) as files, one per task, with what stands around and between them."""
+
+    def write(batches):
+        from pyspark import TaskContext
+
+        system, inner = tasks.open_path(path)
+        system.create_dir(inner, recursive=True)
+        with system.open_output_stream(f"{inner}/{TaskContext.get().partitionId()}.{ending}", compression=None) as out:
+            out.write(head.encode(encoding))
+            mark = ""
+            for batch in batches:
+                for line in batch.iloc[:, 0]:
+                    out.write((mark + line).encode(encoding))
+                    mark = between
+                yield batch
+            out.write(tail.encode(encoding))
+
+    lines.mapInPandas(write, lines.schema).write.format("noop").mode("overwrite").save()
+
+
+def _quoted_csv(df, path, columns, encoding="utf-8"):
+    """CSV files with every set cell quoted and quotes doubled, and a header in each."""
+    cells = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in columns]
+    line = F.concat_ws(",", *(F.coalesce(c, F.lit("")) for c in cells))
+    _text_files(df.select(line.alias("line")), path, "csv", encoding, head=",".join(f'"{c}"' for c in columns) + "\n")
+
+
+# What windows-1252 files can hold, among others; the rest is replaced.
+_NOT_HELD = r"[^\x00-\x7F\x{A0}-\x{FF}€“”–]"
 
 
 @query(
     "src_csv_encoding_fallback",
-    f"""select cast(doc_id as varchar) doc_id, {_LATIN % ", 'g'"} body,
+    f"""select cast(doc_id as varchar) doc_id, lang || ' "' || lang || '",' || chr(10) quoted,
+  case when doc_id % 2 = 0 then text else regexp_replace(text, '{_NOT_HELD}', '?', 'g') end body,
   '2024-01-' || lpad(cast(1 + doc_id % 28 as varchar), 2, '0') "WorkDate" from documents""",
 )
 def _encoding_fallback(spark, sf_dir):
-    """Whole texts, half of them in files that are not UTF-8."""
+    """Whole texts with their line breaks, and quotes; half of them in windows-1252 files of another column order.
+
+    The second half has what its encoding cannot hold replaced; nothing else is changed.
+    """
     work = F.concat(F.lit("202401"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"))
+    held = F.regexp_replace("text", _NOT_HELD, "?")
     documents = table(spark, sf_dir, "documents").select(
-        "doc_id", F.regexp_replace("text", "[^ -~À-ÿ]", " ").alias("body"), work.alias("WorkDate")
+        F.col("doc_id").cast("string").alias("doc_id"), F.concat("lang", F.lit(' "'), "lang", F.lit('",\n')).alias("quoted"),
+        F.when(F.col("doc_id") % 2 == 0, F.col("text")).otherwise(held).alias("body"), work.alias("WorkDate"),
     )
     root = fresh_path(spark, "encodings")
-    for remainder, encoding in ((0, "UTF-8"), (1, "ISO-8859-1")):
-        _csv(documents.where(F.col("doc_id") % 2 == remainder), f"{root}/part={encoding}", encoding=encoding)
-    return readers.read_csv_any_encoding(spark, f"{root}/*")
+    _quoted_csv(documents.where("doc_id % 2 = 0"), f"{root}/a", ("doc_id", "quoted", "body", "WorkDate"))
+    _quoted_csv(documents.where("doc_id % 2 = 1"), f"{root}/b", ("WorkDate", "body", "doc_id", "quoted"), "cp1252")
+    return readers.read_csv_any_encoding(spark, root)
 
 
 @query(
     "src_by_extension",
     """select cast(o_orderkey as varchar) o_orderkey, o_orderstatus,
-  case when o_orderkey % 2 = 0 then o_orderpriority end o_orderpriority from orders""",
+  case when o_orderkey % 4 <> 1 then o_orderpriority end o_orderpriority,
+  case when o_orderkey % 4 = 3 then cast(o_custkey as varchar) end o_custkey from orders""",
 )
 def _by_extension(spark, sf_dir):
-    """Even orders as CSV, odd ones (which lack a column) as JSON."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    """Even orders as CSV under two headers, odd ones as JSON: objects one after the other, and pretty-printed arrays."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_custkey")
     root = fresh_path(spark, "mixed")
-    _csv(orders.where("o_orderkey % 2 = 0"), f"{root}/a")
-    orders.where("o_orderkey % 2 = 1").drop("o_orderpriority").write.json(f"{root}/b")
+    csv = orders.drop("o_custkey").withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
+    _quoted_csv(csv.where("o_orderkey % 4 = 0"), f"{root}/a", csv.columns)
+    _quoted_csv(csv.where("o_orderkey % 4 = 2"), f"{root}/b", csv.columns[::-1])
+    orders.where("o_orderkey % 4 = 1").drop("o_orderpriority", "o_custkey").write.json(f"{root}/c")
+    last = orders.where("o_orderkey % 4 = 3").select(F.to_json(F.struct(*orders.columns), {"pretty": "true"}).alias("value"))
+    _text_files(last, f"{root}/d", "json", head="[\n", between=",\n", tail="\n]\n")
     return readers.read_by_extension(spark, root).drop("source_file")
 
 
@@ -215,6 +268,48 @@ def _json_series(spark, sf_dir):
     return readers.series_rows(text, "value", names).drop("value")
 
 
+_NAMED = """case when doc_id % 50 = 0 then 'clash ' || cast(doc_id % 100 as varchar) || '.csv'
+    when doc_id % 7 = 0 then 'a#' || cast(doc_id as varchar) || '?.CSV' when doc_id % 7 = 1 then cast(doc_id as varchar) || '%20é+.json'
+    else cast(doc_id as varchar) || '.csv' end"""
+
+
+@query(
+    "ingest_runs",
+    f"""with d as (select doc_id, {_NAMED} filename, case when doc_id % 11 = 0 then '' else text end body from documents),
+one as (select filename, sha256(body) sha256, min(strlen(body)) size_bytes from d group by 1, 2),
+n as (select *, count(*) over (partition by filename) contents from one),
+r as (select 1 run union all select 2)
+select run, filename, sha256, cast(size_bytes as bigint) size_bytes,
+  case when contents > 1 then 'errors' when run = 1 then 'files' else 'skipped_unchanged' end list_name,
+  case when contents > 1 then cast(contents as varchar) || ' files of this name differ' end error from n, r""",
+)
+def _ingest_runs(spark, sf_dir):
+    """Documents as files with odd names, empty ones among them, some of one name; ingested twice, the second run twice."""
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", F.expr(_NAMED.replace("varchar", "string")).alias("filename"),
+        F.when(F.col("doc_id") % 11 == 0, "").otherwise(F.col("text")).alias("body"),
+    )
+    source, lake = fresh_path(spark, "drop"), fresh_path(spark, "lake")
+
+    def put(batches):
+        for batch in batches:
+            for doc, name, body in zip(batch["doc_id"], batch["filename"], batch["body"]):
+                system, inner = tasks.open_path(f"{source}/{doc % 5}/{doc}")
+                system.create_dir(inner, recursive=True)
+                with system.open_output_stream(f"{inner}/{name}", compression=None) as out:
+                    out.write(body.encode())
+            yield batch
+
+    documents.mapInPandas(put, documents.schema).write.format("noop").mode("overwrite").save()
+    for day in ("2024-02-01", "2024-02-08", "2024-02-08"):
+        ingest_folder(spark, source, lake, Run(day, f"{day}T05:00:00+00:00"))
+    entries = spark.read.schema(
+        f"filename string, sha256 string, size_bytes long, list_name string, error string, {INGEST_DT} string"
+    ).json(f"{lake}/control/runs")
+    run = F.when(F.col(INGEST_DT) == "2024-02-01", 1).otherwise(2).alias("run")
+    return entries.select(run, "filename", "sha256", "size_bytes", "list_name", "error")
+
+
 @query("src_table", "select * from part")
 def _table(spark, sf_dir):
     return table(spark, sf_dir, "part")

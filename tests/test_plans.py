@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
 from siltstone.operators.incremental import Run
 from siltstone.plans.build import DATASETS, build, check_partitions
-from siltstone.plans.ingest import ingest_folder
+from siltstone.plans.ingest import ingest_folder, run_ledger
 from siltstone.sinks import writers
 from siltstone.sources import readers
 from siltstone.sources.schemas import RAW_COLUMNS
@@ -63,6 +65,51 @@ def test_failed_copy_is_an_error_not_a_state(spark, tmp_path):
     assert {(r.filename, r.list_name) for r in runs.collect()} == {("a.csv", "errors"), ("b.csv", "files")}
 
 
+def test_a_finished_run_is_not_done_again(spark, tmp_path):
+    source, lake = tmp_path / "in", tmp_path / "lake"
+    source.mkdir()
+    (source / "a.csv").write_text("1")
+    (source / "empty.json").write_text("")
+    run = Run("2024-01-01", "2024-01-01T00:00:00+00:00")
+    first = ingest_folder(spark, str(source), str(lake), run)
+    (source / "b.csv").write_text("2")
+    assert ingest_folder(spark, str(source), str(lake), run) == first
+    assert first["uploaded"] == 2 and (lake / "raw/empty/ingest_dt=2024-01-01/empty.json").read_bytes() == b""
+    (ledger,) = run_ledger(spark, str(lake)).collect()
+    assert (ledger.status, ledger.counts_uploaded, str(ledger.ingest_dt)) == ("ok", 2, "2024-01-01")
+    # A run that broke off before its ledger row is done again, over what it left.
+    second = Run("2024-01-02", "2024-01-02T00:00:00+00:00")
+    ingest_folder(spark, str(source), str(lake), second)
+    shutil.rmtree(lake / "control/ledger/ingest_dt=2024-01-02")
+    again = ingest_folder(spark, str(source), str(lake), second)
+    assert (again["uploaded"], again["skipped_unchanged"]) == (0, 3)
+    assert run_ledger(spark, str(lake)).count() == 2
+
+
+def test_files_of_one_name_are_errors_unless_they_are_equal(spark, tmp_path):
+    source, lake = tmp_path / "in", tmp_path / "lake"
+    for folder, name, text in (("x", "a.csv", "1"), ("y", "a.csv", "2"), ("x", "b.csv", "3"), ("y", "b.csv", "3")):
+        (source / folder).mkdir(parents=True, exist_ok=True)
+        (source / folder / name).write_text(text)
+    found = ingest_folder(spark, str(source), str(lake), Run("2024-01-01", "t"))
+    assert (found["uploaded"], found["errors"], found["quarantined"]) == (1, 2, 2)
+    assert {p.read_text() for p in (lake / "quarantine").rglob("a.csv")} == {"1", "2"}
+    assert not (lake / "raw/a").exists() and (lake / "raw/b/ingest_dt=2024-01-01/b.csv").read_text() == "3"
+
+
+def test_a_failed_quarantine_is_recorded(spark, tmp_path):
+    source, lake = tmp_path / "in", tmp_path / "lake"
+    source.mkdir()
+    (source / "a.csv").write_text("1")
+    for folder in ("raw", "quarantine"):
+        (lake / folder).mkdir(parents=True)
+        (lake / folder / "a").write_text("a file where a folder must be")
+    found = ingest_folder(spark, str(source), str(lake), Run("2024-01-01", "t"))
+    assert (found["errors"], found["quarantined"]) == (1, 0)
+    (row,) = spark.read.json(f"{lake}/control/runs").collect()
+    assert row.list_name == "errors" and row.error and row.quarantine_error
+
+
 @pytest.fixture
 def raw_lake(spark, tmp_path):
     """All raw datasets as CSV with two landing dates, the older one empty of use."""

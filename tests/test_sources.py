@@ -8,7 +8,8 @@ import pytest
 from pyspark import cloudpickle
 
 from siltstone.sources import readers
-from siltstone.sources.files import _task_functions, copy_files, hash_files
+from siltstone.sources import tasks
+from siltstone.sources.files import copy_files, hash_files, list_files, with_stored_objects
 from siltstone.sources.schemas import RAW_COLUMNS
 
 
@@ -70,22 +71,33 @@ def test_inventory_tolerates_bad_lines(spark, tmp_path):
     }
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 4])
-def test_hashes_of_whole_files(spark, tmp_path, limit):
-    contents = {"a.csv": b"x" * 100, "sub/b c+d.JSON": b"{}", "e.CSV": b"1"}
+def test_hashes_of_whole_files(spark, tmp_path):
+    contents = {"a.csv": b"x" * 3_000_000, "sub/b c+d.JSON": b"{}", "e.CSV": b"1", "sub/deep/er/empty.csv": b"", "h#?%20é.csv": b"2"}
     for name, data in contents.items():
         put(tmp_path, name, data)
     put(tmp_path, "ignored.pdf", b"%PDF")
-    found = {r.filename: (r.size_bytes, r.sha256) for r in hash_files(spark, str(tmp_path), in_memory_limit=limit).collect()}
+    (tmp_path / "no files").mkdir()
+    found = {r.filename: (r.size_bytes, r.sha256) for r in hash_files(spark, str(tmp_path)).collect()}
     expected = {n.rsplit("/")[-1]: (len(d), hashlib.sha256(d).hexdigest()) for n, d in contents.items()}
     assert found == expected
+    assert list_files(spark, str(tmp_path)).count() == len(contents) + 1
+    assert [r.size_bytes for r in list_files(spark, f"file://{tmp_path}/e.CSV").collect()] == [1]
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        list_files(spark, str(tmp_path / "nowhere")).collect()
+
+
+def test_objects_are_asked_for_by_key(spark, tmp_path):
+    put(tmp_path, "raw/a#1.csv", b"1")
+    rows = spark.createDataFrame([("raw/a#1.csv",), ("raw/b.csv",), ("raw",), ("",), (None,)], "s3_key string")
+    found = {r.s3_key: r.object_exists for r in with_stored_objects(rows, str(tmp_path)).collect()}
+    assert found == {"raw/a#1.csv": True, "raw/b.csv": False, "raw": False, "": False, None: False}
 
 
 def test_copy_reports_failures(spark, tmp_path):
     put(tmp_path, "in/a.csv", b"1\r\n2")
     files = spark.createDataFrame(
-        [(f"file://{tmp_path}/in/a.csv", f"{tmp_path}/out/x/a.csv"), (f"file://{tmp_path}/in/no.csv", f"{tmp_path}/out/no.csv")],
-        "path string, target string",
+        [(f"file://{tmp_path}/in/a.csv", f"{tmp_path}/out/x/a.csv", 4), (f"file://{tmp_path}/in/no.csv", f"{tmp_path}/out/no.csv", 1)],
+        "path string, target string, size_bytes long",
     )
     errors = {r.path.rsplit("/")[-1]: r.error for r in copy_files(files).collect()}
     assert errors["a.csv"] is None and "FileNotFoundError" in errors["no.csv"]
@@ -111,6 +123,48 @@ def test_by_extension(spark, tmp_path):
         readers.read_by_extension(spark, str(tmp_path))
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 40, 7])
+def test_csv_records_over_blocks(spark, tmp_path, block_bytes):
+    put(tmp_path, "a.csv", 'x,"y ""z"""\n"1\n,""2""","é"\n\n"",\n3\n'.encode())
+    put(tmp_path, "deep/b.csv", b'y "z",x,x\r\n5" pipe,"a"b,c,over\r\n' + 'naïve – €,"\n\n"\r\n'.encode("cp1252"))
+    put(tmp_path, "bom.csv", "\ufeff\"x\"\n\"only\"".encode())
+    put(tmp_path, "empty.csv", b"")
+    put(tmp_path, "header.csv", b"w,x\n")
+    df = readers.read_csv_any_encoding(spark, str(tmp_path), block_bytes=block_bytes)
+    assert set(df.columns) == {"x", 'y "z"', "w"}
+    found = {(r.x, r['y "z"'], r.w) for r in df.collect()}
+    assert found == {
+        ('1\n,"2"', "é", None), ("", None, None), ("3", None, None), ("ab", '5" pipe', None), ("\n\n", "naïve – €", None),
+        ("only", None, None),
+    }
+
+
+def test_a_cell_longer_than_many_blocks(spark, tmp_path):
+    cell = 'line, ""quoted""\n' * 20_000
+    put(tmp_path, "a.csv", f'k,v\n1,"{cell}"\n2,"b"\n')
+    rows = readers.read_csv_any_encoding(spark, str(tmp_path), block_bytes=10_000).collect()
+    assert {(r.k, r.v) for r in rows} == {("1", cell.replace('""', '"')), ("2", "b")}
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 16])
+def test_json_arrays_and_csv_headers(spark, tmp_path, block_bytes):
+    put(tmp_path, "a.json", '[\n  {"x": "a\\"]},{\\\\", "n": 1.50},\n  {\n    "deep": {"k": [1, {"t": "}"}]},\n    "b": true\n  }\n]\n')
+    put(tmp_path, "b.json", '{"x":null}\n{"x":"é"}')
+    put(tmp_path, "c.csv", "x,n\n1,2\n")
+    put(tmp_path, "d.csv", 'n,x\n3,"4\n5"\n')
+    put(tmp_path, "none.json", "[ ]")
+    rows = readers.read_by_extension(spark, str(tmp_path), block_bytes=block_bytes).collect()
+    found = {(r.source_file.rsplit("/")[-1], r.x, r.n, r.deep, r.b) for r in rows}
+    assert found == {
+        ("a.json", 'a"]},{\\', "1.50", None, None), ("a.json", None, None, '{"k": ["1", {"t": "}"}]}', "true"),
+        ("b.json", None, None, None, None), ("b.json", "é", None, None, None), ("c.csv", "1", "2", None, None),
+        ("d.csv", "4\n5", "3", None, None),
+    }
+    put(tmp_path, "bad.json", "[1, 2]")
+    with pytest.raises(Exception, match="not an object"):
+        readers.read_by_extension(spark, str(tmp_path), block_bytes=block_bytes).collect()
+
+
 def test_series_with_other_key_order(spark):
     text = '{"cases":{"d1":1,"d2":2},"deaths":{"d2":20,"d1":10}}'
     short = '{"cases":{"d1":1,"d2":2},"deaths":{"d1":5}}'
@@ -122,7 +176,8 @@ def test_series_with_other_key_order(spark):
 
 
 def test_task_functions_need_no_package_on_the_executors(tmp_path):
-    blob = cloudpickle.dumps(_task_functions())
+    shipped = (tasks.list_folders, tasks.hash_batches, tasks.copy_batches, tasks.csv_rows, tasks.json_rows, tasks.probing("/x", "k"))
+    blob = cloudpickle.dumps(shipped)
     code = f"import pickle, sys; pickle.loads({blob!r}); assert 'siltstone' not in sys.modules; print('ok')"
     done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path)
     assert done.stdout.strip() == "ok", done.stderr
