@@ -4,16 +4,17 @@ The columns (n-grams) are cut into blocks by hash range. Documents of sizes that
 differ in few n-grams, so with more blocks than that difference two linked documents agree on one whole
 block of columns: equal block sums name the pairs of row groups whose product is not bounded away
 beforehand. Those groups are then multiplied, block of columns by block of columns; overlap counts add
-up and pairs whose count cannot reach the size-derived bound any more are dropped on the way. Nothing is
-estimated: every linked pair is found and every link is counted in full.
+up and pairs whose count cannot reach the size-derived bound any more are dropped on the way. No pair is sampled
+or left out: every linked pair is found and every link is counted in full, with n-grams told apart by 64-bit hashes.
 
 Where large groups could hurt:
 
 * Equal block sums are combined within a task first (one document stands for all), so a block shared by a
   third of all documents sends one row per task, not one per document.
 * Documents with equal n-gram sets are one row of the matrix with a weight.
-* A group of more rows than a task should hold is cut by size class and hash; only classes whose sizes can
-  meet the threshold are multiplied, each pair of cuts in a task of its own.
+* A group of more rows than a task should hold is first drawn anew by its rows' rarest n-grams, exactly, so that
+  texts which only have common passages part. What is still too large is cut by size class and hash; only classes
+  whose sizes can meet the threshold are multiplied, each pair of cuts in a task of its own.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import connected_components
@@ -168,8 +169,11 @@ def _signature_batches(words: int, threshold: Threshold, buckets: int):
 
     def typed(frame: pd.DataFrame) -> pd.DataFrame:
         blank = {c: None for c in ("sums", "docs") if c not in frame}
-        whole = frame.assign(**blank).reindex(columns=names)
-        return whole.astype({c: "Int64" for c in ("doc_id", "n", "h1", "h2", "other")})
+        # No NULLs, which would make floats of the numbers on their way to the next function.
+        for c in ("doc_id", "n", "h1", "h2", "other"):
+            if c not in frame:
+                frame[c] = 0
+        return frame.assign(**blank)[names]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         firsts = threshold.size_classes(1 << 20)
@@ -212,8 +216,7 @@ def _bucket_links(frame: pd.DataFrame) -> pd.DataFrame:
     a, b = forest(a, b)
     if not len(a):
         return passed
-    links = pd.DataFrame({"kind": "link", "doc_id": a, "other": b}).reindex(columns=names)
-    links = links.astype({c: "Int64" for c in names[1:]})
+    links = pd.DataFrame({"kind": "link", "doc_id": a, "n": 0, "h1": 0, "h2": 0, "other": b})[names]
     return pd.concat([passed, links]) if len(passed) else links
 
 
@@ -380,12 +383,123 @@ def _sizes(words: int):
     return run
 
 
+def _spread_grams(words: int, slots: int):
+    """N-grams of (grp, h1, text) rows by slot of their hash, many rows packed together.
+
+    ``h1`` names the set of n-grams; a text of the same doc_id with another set is left out.
+    """
+
+    def flush(grps, docs, sets) -> pd.DataFrame:
+        grams = np.concatenate(sets)
+        sizes = [len(s) for s in sets]
+        of = ((grams >> np.uint64(32)) * np.uint64(slots)) >> np.uint64(32)
+        order = np.argsort(of, kind="stable")
+        columns = [np.repeat(np.array(x, dtype=np.int64), sizes)[order] for x in (grps, docs)] + [grams[order]]
+        edges = np.searchsorted(of[order], np.arange(slots + 1, dtype=np.uint64))
+        full = [i for i in range(slots) if edges[i] < edges[i + 1]]
+        packed = ([c[edges[i] : edges[i + 1]].tobytes() for i in full] for c in columns)
+        return pd.DataFrame(dict(zip(("slot", "grps", "docs", "grams"), (np.array(full, dtype=np.int32), *packed))))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grps, docs, sets, held = [], [], [], 0
+        for batch in batches:
+            for grp, doc, text in zip(batch["grp"].tolist(), batch["h1"].tolist(), batch["text"].tolist()):
+                grams = shingle_set(text, words)
+                named = np.frombuffer(xxhash.xxh3_128_digest(grams.tobytes()), dtype="<i8")[0] == doc
+                if len(grams) and named:
+                    grps.append(grp), docs.append(doc), sets.append(grams)
+                    held += len(grams)
+                if held >= FLUSH_SUMS:
+                    yield flush(grps, docs, sets)
+                    grps, docs, sets, held = [], [], [], 0
+        if held:
+            yield flush(grps, docs, sets)
+
+    return run
+
+
+def _holders(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Group, document and n-gram of a slot's entries, each once, and how many documents of the group hold it."""
+    grps, docs = (np.frombuffer(b"".join(frame[c]), dtype=np.int64) for c in ("grps", "docs"))
+    grams = np.frombuffer(b"".join(frame["grams"]), dtype=np.uint64)
+    order = np.lexsort((docs, grams, grps))
+    grps, docs, grams = grps[order], docs[order], grams[order]
+    new_gram = np.concatenate([[True], (grps[1:] != grps[:-1]) | (grams[1:] != grams[:-1])])
+    once = new_gram | np.concatenate([[True], docs[1:] != docs[:-1]])
+    grps, docs, grams, new_gram = grps[once], docs[once], grams[once], new_gram[once]
+    starts = np.flatnonzero(new_gram)
+    sizes = np.diff(np.append(starts, len(docs)))
+    return grps, docs, grams, np.repeat(sizes, sizes)
+
+
+def _own_grams(frame: pd.DataFrame) -> pd.DataFrame:
+    """Per row the n-grams that no other row of its group holds."""
+    _, docs, _, held = _holders(frame)
+    found, counts = np.unique(docs[held == 1], return_counts=True)
+    return pd.DataFrame({"h1": found, "own": counts})
+
+
+def _shared_grams(frame: pd.DataFrame) -> pd.DataFrame:
+    grps, docs, grams, held = _holders(frame)
+    both = held > 1
+    return pd.DataFrame({"grp": grps[both], "h1": docs[both], "gram": grams[both].view(np.int64), "held": held[both]})
+
+
+def _refined(docs: DataFrame, rows: DataFrame, threshold: Threshold, words: int, block_grams: int) -> DataFrame:
+    """(h1, grp): smaller groups for the ``rows`` (grp, doc_id, h1, n) of groups too large for a task.
+
+    A row with a link holds ``num / den`` of its n-grams in common with another, so a row with more n-grams of its
+    own than that leaves room for has no link and goes. Of the others, linked ones share one of their rarest n-grams,
+    as many as may differ and one more, in one order of all n-grams by rarity. Rows that meet on such an n-gram form
+    the new groups; what thousands of texts have in common is rare in none of them and joins nothing.
+    """
+    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    slots = max(1, -(-4 * int(total) // block_grams), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def by_slot(of: DataFrame, what, schema: str) -> DataFrame:
+        texts = docs.join(of.select("grp", "doc_id", "h1"), "doc_id").select("grp", "h1", "text")
+        spread = texts.mapInPandas(_spread_grams(words, slots), "slot int, grps binary, docs binary, grams binary")
+        return spread.repartition(slots, "slot").groupBy("slot").applyInPandas(what, schema)
+
+    num, den = threshold.num, threshold.den
+    own = by_slot(rows, _own_grams, "h1 long, own long").groupBy("h1").agg(F.sum("own").alias("own"))
+    open_ = written(
+        rows.join(own, "h1", "left")
+        .where(den * (F.col("n") - F.coalesce("own", F.lit(0))) >= num * F.col("n"))
+        .select("grp", "doc_id", "h1", "n"),
+        "ngram-open",
+    )
+    shared = by_slot(open_, _shared_grams, "grp long, h1 long, gram long, held long").join(
+        open_.select("h1", "n").distinct(), "h1"
+    )
+    # n - ceil(num * n / den) + 1 of a row's n-grams are looked at, those of its own before all others.
+    mine = Window.partitionBy("grp", "h1")
+    looked_at = F.expr(f"n - (n * {num} + {den - 1}) div {den} + 1") - (F.col("n") - F.count("*").over(mine))
+    rank = F.row_number().over(mine.orderBy("held", "gram"))
+    ranked = shared.withColumns({"rank": rank, "most": looked_at}).where("rank <= most")
+    first = written(ranked.select("grp", "gram", "h1"), "ngram-rarest")
+    least = first.groupBy("grp", "gram").agg(F.min("h1").alias("least"))
+    edges = first.join(least, ["grp", "gram"]).where("h1 <> least").select("h1", "least").distinct()
+    return connected_components(edges, "h1", "least").select(F.col("node").alias("h1"), F.col("component").alias("grp"))
+
+
 def _product(docs, classes, threshold: Threshold, words: int, block_rows: int, block_grams: int) -> DataFrame:
     """(doc_id, other, links): the forest of links between rows, and each row's links on a row to itself."""
-    sized = classes.groupBy("grp").agg(F.count("*").alias("rows"), F.sum("n").alias("grams"))
-    sized = sized.where("rows > 1")
     cuts = F.greatest(F.ceil(F.col("rows") / block_rows), F.ceil(F.col("grams") / block_grams))
-    rows = classes.join(sized, "grp").withColumn("cuts", cuts)
+
+    def sizes_of(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("grp").agg(F.count("*").alias("rows"), F.sum("n").alias("grams")).where("rows > 1")
+
+    sized = written(sizes_of(classes).withColumn("cuts", cuts), "ngram-sizes")
+    grouped = classes.select("grp", "doc_id", "n", "weight", "h1")
+    large = sized.where("cuts > 1").select("grp")
+    if not large.isEmpty():
+        # Block sums name candidates; chains of them can hold much of a corpus, so large groups are drawn anew.
+        rows = written(grouped.join(large, "grp"), "ngram-large")
+        anew = rows.drop("grp").join(_refined(docs, rows, threshold, words, block_grams), "h1")
+        grouped = written(grouped.join(large, "grp", "left_anti").unionByName(anew), "ngram-groups")
+        sized = written(sizes_of(grouped).withColumn("cuts", cuts), "ngram-sizes")
+    rows = grouped.join(sized, "grp")
 
     # Whole groups: many of them share a task, by hash, so that a task holds about one block.
     total = sized.where(cuts <= 1).agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("grams"), F.lit(0))).first()
@@ -398,7 +512,7 @@ def _product(docs, classes, threshold: Threshold, words: int, block_rows: int, b
     )
 
     # Cut groups: by size class and hash. Each pair of cuts that can hold a linked pair is a task.
-    firsts = threshold.size_classes(classes.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0])
+    firsts = threshold.size_classes(grouped.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0])
     kind = F.size(F.filter(F.lit([int(x) for x in firsts]), lambda first: first <= F.col("n")))
     cut = rows.where("cuts > 1").withColumn("kind", kind)
     kinds = cut.groupBy("grp", "kind").agg(F.count("*").alias("r"), F.sum("n").alias("g"))
