@@ -36,8 +36,8 @@ _LOWER = bytes(range(256)).lower().translate(bytes.maketrans(_STOPS, b"\n" * len
 _END = b"\xff"
 
 #: Places gathered in a task before they are counted, and words known at once.
-FLUSH_PLACES = 3_000_000
-FLUSH_WORDS = 1_000_000
+FLUSH_PLACES = 2_000_000
+FLUSH_WORDS = 600_000
 #: Hash buckets of the histogram: its size does not depend on the data.
 BUCKETS = 1 << 14
 #: Places dealt to a counting task.
