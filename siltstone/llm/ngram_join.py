@@ -38,7 +38,7 @@ BLOCK_GRAMS = 4_000_000
 #: Columns multiplied at once.
 PANEL = 2_048
 #: Sums gathered in a task before they are sent off.
-FLUSH_SUMS = 2_000_000
+FLUSH_SUMS = 500_000
 
 
 class Threshold:
