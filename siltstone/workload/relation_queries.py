@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from siltstone.functions import cleaning as c
+from siltstone.functions.paths import date_in_path
 from siltstone.operators import incremental, keys, series
 from siltstone.plans.calendar import dim_date
 from siltstone.plans.models import measure_codes
@@ -123,9 +124,11 @@ from file_names join {_TABLES_SQL} t
 
 
 def planned_partitions(spark, sf_dir):
-    """Two tables per language over the same folder; one language's tables are not partitioned."""
-    files = derived(spark, sf_dir, "file_names").where(F.col("s3_key").startswith("raw/"))
-    files = files.select("s3_key", F.regexp_extract("s3_key", "ingest_dt=([^/]*)/", 1).alias("ingest_dt"))
+    """Two tables per language over the same folder; one language's tables are not partitioned.
+
+    Every sixth file lies loose, without a landing date, and is for the operator to leave out.
+    """
+    files = derived(spark, sf_dir, "file_names").select("s3_key", date_in_path("s3_key").alias("ingest_dt"))
     lang = table(spark, sf_dir, "documents").select("lang").distinct()
     tables = lang.select(
         F.explode(F.array(F.lit(""), F.lit("_copy"))).alias("suffix"), "lang"

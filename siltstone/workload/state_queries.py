@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from siltstone.functions.paths import date_in_path
 from siltstone.operators import incremental
 from siltstone.operators.checks import TABLE_CHECKS, check_raw_header, check_table, run_checks
 from siltstone.plans.build import curated_table
@@ -79,11 +80,9 @@ latest as (select dataset_key, max(ingest_dt) ingest_dt from landed
 
 
 def _landed_files(spark, sf_dir):
-    files = derived(spark, sf_dir, "file_names").where(F.col("s3_key").startswith("raw/"))
-    return files.select(
-        "doc_id",
-        F.get(F.split("s3_key", "/"), F.lit(1)).alias("dataset_key"),
-        F.regexp_extract("s3_key", "ingest_dt=([^/]*)/", 1).alias("ingest_dt"),
+    """All files; every sixth lies loose, without a landing date, and is for the operators to leave out."""
+    return derived(spark, sf_dir, "file_names").select(
+        "doc_id", F.get(F.split("s3_key", "/"), F.lit(1)).alias("dataset_key"), date_in_path("s3_key").alias("ingest_dt")
     )
 
 
