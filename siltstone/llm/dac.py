@@ -3,7 +3,8 @@
 An id is cut into chunks of 8 bits, lowest first. Level k holds, one after the other, the k-th chunk of every
 id that has one, and a bitmap that says which of them go on to level k + 1. A directory with the number of
 set bits before each 512th position turns a place on one level into the place on the next by one look-up
-and a count over at most eight words. Files hold whole documents in ascending order of doc_id.
+and a count over at most eight words. Files hold whole documents in ascending order of doc_id, those without one
+first. A reader opens a file by its header and reads only those parts of its sections that it is asked for.
 
 Layout of a file, little-endian: a JSON header with the sizes of the sections, its length in front; the
 doc_ids; the tokens before each document; then per level the chunks, the bitmap and the directory.
@@ -17,9 +18,11 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +36,15 @@ RANK_EVERY = 512
 #: Tokens after which a file is closed; a longer document is a file of its own.
 FILE_TOKENS = 8_000_000
 SHARD_TOKENS = 16_000_000
-#: Words a task remembers the ids of, in each of two generations.
-WORDS = 400_000
+#: Words a task remembers the ids of, in each of two generations, and new words encoded as one text.
+WORDS = 300_000
+JOINED_WORDS = 64
+#: Texts and characters encoded at once; a longer text is encoded alone.
+PART_TEXTS, PART_CHARS = 256, 2_000_000
+#: Documents and tokens read at once; a longer document is read alone.
+FRAME_DOCS, FRAME_TOKENS = 50_000, 1_000_000
+#: Stands for no doc_id in files, whose header counts how many of their first documents have none.
+NO_ID = -(1 << 63)
 #: Stops between an ASCII letter and white space or the end.
 _STOPS = re.compile(rb"(?<=[a-z])([.,;:!?]+)(?=[\x20\x09-\x0D]|\Z)")
 
@@ -69,6 +79,13 @@ class Level:
         octets = self.bits[lo >> 6 : (hi - 1 >> 6) + 1].view(np.uint8)
         return np.unpackbits(octets, bitorder="little")[lo & 63 : (lo & 63) + hi - lo].view(bool)
 
+    def rank_of(self, at: int) -> int:
+        """Set bits before one position, from slices alone."""
+        block = at // RANK_EVERY
+        held = self.bits[block * (RANK_EVERY // 64) : (at >> 6) + 1]
+        below = int(held[-1]) & ((1 << (at & 63)) - 1)
+        return int(self.ranks[block : block + 1][0]) + int(np.bitwise_count(held[:-1]).sum()) + below.bit_count()
+
     def rank(self, at: np.ndarray) -> np.ndarray:
         """Set bits before each position."""
         words = RANK_EVERY // 64
@@ -124,22 +141,39 @@ class Codes:
                 break
             out[open_] |= level.chunks[lo:hi].astype(np.uint32) << np.uint32(CHUNK_BITS * k)
             more = level.goes_on_between(lo, hi)
-            lo = int(level.rank(np.array([lo]))[0])
+            lo = level.rank_of(lo)
             open_ = open_[more]
             hi = lo + len(open_)
         return out
 
 
+class Section:
+    """An array in a file; only what is sliced is read."""
+
+    def __init__(self, stream: pa.NativeFile, kind: str, offset: int, size: int):
+        self.stream, self.kind, self.offset = stream, np.dtype(kind), offset
+        self.count = size // self.kind.itemsize
+
+    def __len__(self) -> int:
+        return self.count
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        lo, hi, _ = part.indices(self.count)
+        width = self.kind.itemsize
+        data = self.stream.read_at(max(hi - lo, 0) * width, self.offset + lo * width)
+        return np.frombuffer(data, dtype=self.kind)
+
+
 class TokenFile:
-    """Documents of one file: their ids in order and their codes."""
+    """Documents of one file: their ids in order and their codes. The first ``nameless`` ones have no doc_id."""
 
-    def __init__(self, doc_ids: np.ndarray, starts: np.ndarray, codes: Codes):
-        self.doc_ids, self.starts, self.codes = doc_ids, starts, codes
+    def __init__(self, doc_ids: np.ndarray | Section, starts: np.ndarray | Section, codes: Codes, nameless: int = 0):
+        self.doc_ids, self.starts, self.codes, self.nameless = doc_ids, starts, codes, nameless
 
     @classmethod
-    def build(cls, doc_ids: list[int], lengths: list[int], ids: np.ndarray) -> TokenFile:
+    def build(cls, doc_ids: list[int], lengths: list[int], ids: np.ndarray, nameless: int = 0) -> TokenFile:
         starts = np.concatenate([[0], np.cumsum(np.array(lengths, dtype=np.int64))])
-        return cls(np.array(doc_ids, dtype="<i8"), starts.astype("<i8"), Codes.build(ids))
+        return cls(np.array(doc_ids, dtype="<i8"), starts.astype("<i8"), Codes.build(ids), nameless)
 
     def to_bytes(self) -> bytes:
         parts = [self.doc_ids, self.starts]
@@ -147,29 +181,47 @@ class TokenFile:
             parts += [level.chunks, level.bits, level.ranks]
         head = {
             "format": "dac-1", "chunk_bits": CHUNK_BITS, "rank_every": RANK_EVERY, "docs": len(self.doc_ids),
-            "tokens": self.codes.count, "levels": [len(x.chunks) for x in self.codes.levels],
+            "nameless": self.nameless, "tokens": self.codes.count, "levels": [len(x.chunks) for x in self.codes.levels],
             "sections": [p.nbytes for p in parts],
         }
         text = json.dumps(head).encode()
         return b"".join([len(text).to_bytes(8, "little"), text, *(p.tobytes() for p in parts)])
 
     @classmethod
-    def from_bytes(cls, data: bytes) -> TokenFile:
-        size = int.from_bytes(data[:8], "little")
-        head, at = json.loads(data[8 : 8 + size]), 8 + size
+    def open(cls, stream: pa.NativeFile) -> TokenFile:
+        """A file read by its parts, as they are asked for."""
+        size = int.from_bytes(stream.read_at(8, 0), "little")
+        head, at = json.loads(stream.read_at(size, 8)), 8 + size
         if head["format"] != "dac-1" or head["chunk_bits"] != CHUNK_BITS or head["rank_every"] != RANK_EVERY:
             raise ValueError("not a file of this format")
-        kinds = ["<i8", "<i8"] + ["<u1", "<u8", "<u4"] * len(head["levels"])
         parts = []
-        for kind, length in zip(kinds, head["sections"]):
-            parts.append(np.frombuffer(data, dtype=kind, count=length // np.dtype(kind).itemsize, offset=at))
+        for kind, length in zip(["<i8", "<i8"] + ["<u1", "<u8", "<u4"] * len(head["levels"]), head["sections"]):
+            parts.append(Section(stream, kind, at, length))
             at += length
         levels = [Level(*parts[2 + 3 * k : 5 + 3 * k]) for k in range(len(head["levels"]))]
-        return cls(parts[0], parts[1], Codes(levels, head["tokens"]))
+        return cls(parts[0], parts[1], Codes(levels, head["tokens"]), head["nameless"])
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> TokenFile:
+        """A file held in memory, for looking up single tokens anywhere."""
+        file = cls.open(pa.BufferReader(data))
+        levels = [Level(x.chunks[:], x.bits[:], x.ranks[:]) for x in file.codes.levels]
+        return cls(file.doc_ids[:], file.starts[:], Codes(levels, file.codes.count), file.nameless)
 
     def tokens(self, document: int) -> np.ndarray:
         """Ids of the n-th document of the file."""
-        return self.codes.span(int(self.starts[document]), int(self.starts[document + 1]))
+        lo, hi = self.starts[document : document + 2]
+        return self.codes.span(int(lo), int(hi))
+
+    def frames(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The documents in runs of bounded size: number of the first, starts with the end of the last, and ids."""
+        lo = 0
+        while lo < len(self.doc_ids):
+            starts = self.starts[lo : min(lo + FRAME_DOCS, len(self.doc_ids)) + 1]
+            docs = max(1, int(np.searchsorted(starts, starts[0] + FRAME_TOKENS, side="right")) - 1)
+            starts = starts[: docs + 1]
+            yield lo, starts, self.codes.span(int(starts[0]), int(starts[-1]))
+            lo += docs
 
 
 # --- encoding texts -------------------------------------------------------------------------------
@@ -180,7 +232,8 @@ class WordEncoder:
 
     Such a tokenizer gives a text the ids of its words in a row. Words are parted at the six ASCII white
     space bytes only, all of which the tokenizer treats as white space, and looked up in a bounded memory
-    of two generations; new ones are encoded by the tokenizer, many at once.
+    of two generations. New ones are encoded by the tokenizer, many as one text with a word of one known id
+    between them; where that id does not come out once per gap, they are encoded one by one.
 
     Where the tokenizer lower-cases and keeps letters apart from punctuation (``folds``), words that differ
     in A-Z or in stops at their end share an entry.
@@ -193,6 +246,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode("utf-8").lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.folds = self._folds()
+        self.gap, self.gap_id = self._gap()
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -203,6 +257,15 @@ class WordEncoder:
         ids = [[e.ids for e in self.tokenizer.encode_batch_fast(list(side), add_special_tokens=False)] for side in zip(*pairs)]
         return ids[0] == ids[1]
 
+    def _gap(self) -> tuple[bytes, int | None]:
+        """The longest word of ASCII letters that is one token of its own, and its id; rare as a part of other words."""
+        words = {w.removesuffix("</w>") for w in self.tokenizer.get_vocab()}
+        for word in sorted((w for w in words if w.isascii() and w.isalpha()), key=lambda w: (-len(w), w))[:1_000]:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            if len(ids) == 1:
+                return b" " + word.encode() + b" ", ids[0]
+        return b" ", None
+
     def cut(self, text: str | None) -> list[bytes]:
         data = text.encode("utf-8", "replace") if text else b""
         # The marks U+0300 to U+037F may join a capital otherwise than its small letter.
@@ -212,9 +275,11 @@ class WordEncoder:
                 data = _STOPS.sub(rb" \1", low)
         return data.split()
 
+    def _ids(self, words: list[bytes]) -> list[np.ndarray]:
+        texts = [w.decode("utf-8") for w in words]
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def learn(self, words: set[bytes]) -> None:
-        if len(self.young) + len(words) > WORDS:
-            self.old, self.young = self.young, {}
         new = []
         for word in words:
             held = self.old.get(word)
@@ -222,23 +287,44 @@ class WordEncoder:
                 new.append(word)
             else:
                 self.young[word] = held
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-        for word, encoding in zip(new, found):
-            self.young[word] = np.array(encoding.ids, dtype="<u4").tobytes()
+        groups = [new[lo : lo + JOINED_WORDS] for lo in range(0, len(new), JOINED_WORDS)]
+        alone = []
+        for group, ids in zip(groups, self._ids([self.gap.join(g) for g in groups])):
+            gaps = np.flatnonzero(ids == self.gap_id) if self.gap_id is not None else np.empty(0, dtype=np.int64)
+            if len(gaps) != len(group) - 1:
+                alone += group
+                continue
+            data, edges = ids.tobytes(), [0, *(4 * gaps + 4).tolist(), 4 * len(ids) + 4]
+            for word, lo, hi in zip(group, edges, edges[1:]):
+                self.young[word] = data[lo : hi - 4]
+        for word, ids in zip(alone, self._ids(alone)):
+            self.young[word] = ids.tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers; none for NULL."""
         cut = [self.cut(t) for t in texts]
-        known = self.young
-        found = [list(map(known.get, words)) for words in cut]
-        missing = {w for words, ids in zip(cut, found) if None in ids for w, i in zip(words, ids) if i is None}
+        missing: set[bytes] = set()
+        for words in cut:
+            missing.update(filterfalse(self.young.__contains__, words))
         if missing:
+            if len(self.young) + len(missing) > WORDS:
+                self.old, self.young = self.young, {}
+                missing = set().union(*cut)
             self.learn(missing)
-            fresh = self.young
-            for words, ids in zip(cut, found):
-                if None in ids:
-                    ids[:] = [fresh[w] if i is None else i for w, i in zip(words, ids)]
-        return [b"".join(ids) for ids in found]
+        known = self.young.__getitem__
+        return [b"".join(map(known, words)) for words in cut]
+
+
+def _parts(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Runs of rows whose texts are few and short enough to be encoded at once."""
+    lo = held = 0
+    for at, text in enumerate(batch["text"]):
+        if at > lo and (at - lo >= PART_TEXTS or held + len(text or "") > PART_CHARS):
+            yield batch.iloc[lo:at]
+            lo, held = at, 0
+        held += len(text or "")
+    if lo < len(batch):
+        yield batch.iloc[lo:]
 
 
 def _encoded(path: str, end_id: int, narrow: bool):
@@ -247,13 +333,14 @@ def _encoded(path: str, end_id: int, narrow: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = WordEncoder(path)
         for batch in batches:
-            for lo in range(0, len(batch), 256):
-                part = batch.iloc[lo : lo + 256]
+            for part in _parts(batch):
                 ids = [e + end for e in encoder.encode(part["text"].tolist())]
                 sizes = [len(i) // 4 for i in ids]
                 if narrow:
                     ids = [np.frombuffer(i, dtype="<u4").astype("<u2").tobytes() for i in ids]
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "n_tokens": sizes, "ids": ids})
+                yield pd.DataFrame(
+                    {"doc_id": part["doc_id"].to_numpy(), "named": part["named"].to_numpy(), "n_tokens": sizes, "ids": ids}
+                )
 
     return run
 
@@ -269,30 +356,35 @@ def _writer(folder: str, file_tokens: int, narrow: bool):
         docs: list[int] = []
         sizes: list[int] = []
         parts: list[bytes] = []
+        nameless = held = 0
 
         def flush() -> pd.DataFrame:
-            data = TokenFile.build(docs, sizes, np.frombuffer(b"".join(parts), dtype=kind)).to_bytes()
+            data = TokenFile.build(docs, sizes, np.frombuffer(b"".join(parts), dtype=kind), nameless).to_bytes()
             draft = Draft(folder)
             draft.write(data)
             draft.close()
             row = {
                 "draft": draft.name, "name": f"shard-{shard:06d}/{number:05d}.dac", "file_bytes": draft.size,
-                "shard": shard, "number": number, "docs": len(docs), "tokens": sum(sizes),
+                "shard": shard, "number": number, "docs": len(docs), "tokens": held,
                 "first_doc": docs[0], "last_doc": docs[-1], "sha256": hashlib.sha256(data).hexdigest(),
             }
             docs.clear(), sizes.clear(), parts.clear()
             return pd.DataFrame([row])
 
         for batch in batches:
-            for own, doc, size, ids in zip(batch["shard"], batch["doc_id"], batch["n_tokens"], batch["ids"]):
-                if docs and (own != shard or sum(sizes) + size > file_tokens):
+            columns = (batch[c] for c in ("shard", "doc_id", "named", "n_tokens", "ids"))
+            for own, doc, named, size, ids in zip(*columns):
+                if docs and (own != shard or held + size > file_tokens):
                     yield flush()
+                    nameless = held = 0
                     number = number + 1 if own == shard else 0
                 elif own != shard:
                     number = 0
                 shard = own
                 docs.append(int(doc))
                 sizes.append(int(size))
+                held += int(size)
+                nameless += not named
                 parts.append(ids)
         if docs:
             yield flush()
@@ -311,19 +403,22 @@ def write_tokens(
     """Encode ``docs`` (doc_id, text) with the tokenizer file and write them below ``folder``; returns the manifest.
 
     ``end_id`` closes each document. NULL and empty texts are documents of that one token. Rows without
-    doc_id cannot be addressed and raise an error; rows that repeat a doc_id follow one another. Exact
-    running token counts cut the documents into shards, so files do not depend on the layout of the input.
+    doc_id come first, rows that repeat a doc_id follow one another; either are written by one task, which
+    closes a file after ``file_tokens``. Other columns are ignored. Exact running token counts cut the documents
+    into shards, so files do not depend on the layout of the input. No row in gives no file.
     """
     with open(tokenizer, encoding="utf-8") as file:
         vocabulary = json.load(file)
     largest = max([end_id, *vocabulary["model"]["vocab"].values(), *(t["id"] for t in vocabulary["added_tokens"])])
     narrow = largest < 1 << 16
     texts = docs.select(
-        F.when(F.col("doc_id").isNull(), F.raise_error("a document has no doc_id")).otherwise(F.col("doc_id").cast("long")).alias("doc_id"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
+        F.col("doc_id").cast("long").isNotNull().alias("named"),
         F.col("text").cast("string").alias("text"),
     )
     encoded = written(
-        texts.mapInPandas(_encoded(tokenizer, end_id, narrow), "doc_id long, n_tokens long, ids binary"), "dac-ids"
+        texts.mapInPandas(_encoded(tokenizer, end_id, narrow), "doc_id long, named boolean, n_tokens long, ids binary"),
+        "dac-ids",
     )
     running = with_total_before(encoded.select("doc_id", "n_tokens"), ["doc_id"], "n_tokens", "before")
     starts = (
@@ -339,47 +434,53 @@ def write_tokens(
         return pd.Series(np.searchsorted(cuts, doc.to_numpy(dtype=np.int64), side="right").astype(np.int32))
 
     placed = encoded.withColumn("shard", shard_of("doc_id")).repartitionById(len(cuts) + 1, "shard")
-    ordered = placed.sortWithinPartitions("shard", "doc_id", F.crc32("ids"))
+    ordered = placed.sortWithinPartitions("shard", "doc_id", "named", F.crc32("ids"))
     return publish(ordered.mapInPandas(_writer(folder, file_tokens, narrow), _DRAFTS), folder)
 
 
-def _reader(folder: str):
+_READ = "doc_id long, named boolean, start long, n_tokens long"
+
+
+def _reader(folder: str, name: str, of):
+    """Rows of files by bounded frames; column ``name`` is ``of`` a document's ids as 32-bit integers."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, root = open_folder(folder)
         for batch in batches:
-            for name, base in zip(batch["name"], batch["base"]):
-                with system.open_input_stream(f"{root}/{name}", compression=None) as stream:
-                    file = TokenFile.from_bytes(stream.read())
-                rows = range(len(file.doc_ids))
-                yield pd.DataFrame(
-                    {
-                        "doc_id": file.doc_ids,
-                        "start": file.starts[:-1] + base,
-                        "n_tokens": np.diff(file.starts),
-                        "ids": [file.tokens(i).astype("<u4").tobytes() for i in rows],
-                    }
-                )
+            for path, base in zip(batch["name"], batch["base"]):
+                with system.open_input_file(f"{root}/{path}") as stream:
+                    file = TokenFile.open(stream)
+                    for first, starts, ids in file.frames():
+                        data = memoryview(ids.astype("<u4").tobytes())
+                        edges = (4 * (starts - starts[0])).tolist()
+                        yield pd.DataFrame(
+                            {
+                                "doc_id": file.doc_ids[first : first + len(starts) - 1],
+                                "named": np.arange(first, first + len(starts) - 1) >= file.nameless,
+                                "start": starts[:-1] + base,
+                                "n_tokens": np.diff(starts),
+                                name: [of(data[lo:hi]) for lo, hi in zip(edges, edges[1:])],
+                            }
+                        )
 
     return run
 
 
-def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start (tokens before the document in all files), n_tokens and ids, read from the files."""
+def _read(spark: SparkSession, folder: str, name: str, kind: str, of) -> DataFrame:
     files = manifest(spark, folder)
     # One row per file.
     before = Window.orderBy("shard", "number").rowsBetween(Window.unboundedPreceding, -1)
     based = written(files.select("name", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base")), "dac-files")
     count = max(1, min(based.count(), 10_000))
-    return based.repartition(count, "name").mapInPandas(
-        _reader(folder), "doc_id long, start long, n_tokens long, ids binary"
-    )
+    rows = based.repartition(count, "name").mapInPandas(_reader(folder, name, of), f"{_READ}, {name} {kind}")
+    return rows.withColumn("doc_id", F.when(F.col("named"), F.col("doc_id"))).drop("named")
 
 
-def digest_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start, n_tokens and the checksum of the ids, read from the files."""
+def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, start (tokens before the document in all files), n_tokens and ids, read from the files."""
+    return _read(spark, folder, "ids", "binary", bytes)
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.drop(columns="ids").assign(ids_crc32=[zlib.crc32(i) for i in batch["ids"]])
 
-    return read_tokens(spark, folder).mapInPandas(sums, "doc_id long, start long, n_tokens long, ids_crc32 long")
+def digest_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens and the checksum of the ids, read from the files."""
+    return _read(spark, folder, "ids_crc32", "long", zlib.crc32)

@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,5 +298,44 @@ def test_token_file_cases(spark):
     assert [r.doc_id for r in rows] == sorted(i for i, _ in TEXTS)
     assert [r.start for r in rows] == [sum(x.n_tokens for x in rows[:k]) for k in range(len(rows))]
     assert all(r.n_tokens == 1 for r in rows if r.doc_id <= 3)
-    with pytest.raises(Exception, match="doc_id"):
-        dac.write_tokens(_docs(spark, [(None, "x")]), fresh_path(spark, "t"), queries.tokenizer_path(), 1)
+    assert all(len(r.ids) == 4 * r.n_tokens for r in rows)
+
+
+def test_documents_without_id_are_the_first_in_the_files(spark):
+    folder = fresh_path(spark, "tokens-test")
+    docs = _docs(spark, [(None, "x"), (3, "a b"), (-(1 << 63), "c"), (None, None), (-4, "d")])
+    dac.write_tokens(docs, folder, queries.tokenizer_path(), 1, file_tokens=3, shard_tokens=4)
+    rows = sorted(dac.digest_tokens(spark, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None, None, -(1 << 63), -4, 3]
+    assert sorted(r.n_tokens for r in rows[:2]) == [1, 2] and rows[4].n_tokens == 3
+    empty = fresh_path(spark, "tokens-test")
+    dac.write_tokens(_docs(spark, []), empty, queries.tokenizer_path(), 1)
+    assert dac.read_tokens(spark, empty).count() == 0
+
+
+def test_files_are_read_by_parts(monkeypatch):
+    draw = np.random.default_rng(2)
+    sizes = draw.integers(1, 900, 60).tolist()
+    ids = draw.integers(0, 70_000, sum(sizes)).astype("<u4")
+    data = dac.TokenFile.build(list(range(60)), sizes, ids).to_bytes()
+    monkeypatch.setattr(dac, "FRAME_TOKENS", 800)
+    monkeypatch.setattr(dac, "FRAME_DOCS", 7)
+    file, seen = dac.TokenFile.open(pa.BufferReader(data)), []
+    for first, starts, part in file.frames():
+        assert first == len(seen) and (len(starts) == 2 or len(part) <= 800) and len(starts) <= 8
+        assert np.array_equal(part, ids[starts[0] : starts[-1]])
+        seen += np.diff(starts).tolist()
+    assert seen == sizes
+    assert np.array_equal(file.tokens(59), ids[-sizes[-1] :])
+
+
+def test_words_are_encoded_alike_joined_and_across_generations(monkeypatch):
+    monkeypatch.setattr(dac, "WORDS", 40)
+    encoder = dac.WordEncoder(queries.tokenizer_path())
+    gap = encoder.gap.decode().strip()
+    texts = [" ".join(f"{w}{k % 7}{chr(97 + k % 26)}." for k in range(n)) for n, w in enumerate(["q", "Zü", gap, "1", "ß"] * 8)]
+    texts += [f"{gap} {gap}x x{gap} a", gap.upper(), "e\u0301 " + gap]
+    for lo in range(0, len(texts), 5):
+        part = texts[lo : lo + 5]
+        for text, ids in zip(part, encoder.encode(part)):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
