@@ -12,45 +12,37 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.llm.order import with_total_before
 from siltstone.session import written
 
 BITS = 6
 # monotonically_increasing_id keeps the partition number above this bit.
 _PARTITION_BIT = 33
-_PREFIX_BYTES = 7
+_OUT = ("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "curve")
 
 
-def ordered_number(column: Column, dtype: str) -> Column:
-    """A long that keeps the column's order as far as its first bytes tell; NULL first."""
-    if dtype in ("tinyint", "smallint", "int", "bigint"):
-        return column.cast("long")
-    if dtype in ("float", "double") or dtype.startswith("decimal"):
-        return F.floor(column).cast("long")
-    if dtype == "date":
-        return F.unix_date(column).cast("long")
-    if dtype.startswith("timestamp"):
-        return F.unix_micros(column.cast("timestamp"))
-    head = F.rpad(F.hex(F.substring(F.encode(column.cast("string"), "UTF-8"), 1, _PREFIX_BYTES)), 2 * _PREFIX_BYTES, "0")
-    return F.conv(head, 16, 10).cast("long")
+def ordered(column: Column, dtype: str) -> Column:
+    """The column itself, or its text where the type has no order that all values can be sorted by."""
+    return column.cast("string") if dtype.startswith(("map", "array", "struct", "variant")) else column
 
 
-def _cuts(rows: DataFrame, names: Sequence[str], steps: int) -> dict[str, list[int]]:
-    """Up to ``steps`` - 1 ascending cut points per column, at equal shares of its distinct values.
+def _cuts(rows: DataFrame, name: str, steps: int) -> list:
+    """Up to ``steps`` - 1 ascending cut points of a column, whole values at equal shares of its distinct ones.
 
-    Distinct values are counted, not rows, so a value that holds a third of all rows takes one step only.
+    Distinct values are counted, not rows, so a value that holds a third of all rows takes one step only, and
+    no more values than steps have one each. They are numbered range by range; only the cut points are collected.
     """
-    at = [i / steps for i in range(1, steps)]
-    cuts = {}
-    for name in names:
-        row = rows.select(name).distinct().agg(F.percentile_approx(name, at, 10_000)).first()
-        cuts[name] = sorted(set(row[0] or []))
-    return cuts
+    values = written(rows.select(name).where(F.col(name).isNotNull()).distinct(), "hilbert-values")
+    count = values.count()
+    numbered = with_total_before(values.withColumn("_one", F.lit(1)), [name], "_one", "_at")
+    first = F.expr(f"_at > 0 and (_at * {steps}L) div {max(count, 1)}L > ((_at - 1) * {steps}L) div {max(count, 1)}L")
+    return [row[0] for row in numbered.where(first).orderBy("_at").select(name).collect()]
 
 
-def _step(column: Column, cuts: list[int]) -> Column:
+def _step(column: Column, cuts: list, dtype: str) -> Column:
     if not cuts:
         return F.lit(0)
-    below = F.size(F.filter(F.array(*(F.lit(c).cast("long") for c in cuts)), lambda cut: cut <= column))
+    below = F.size(F.filter(F.array(*(F.lit(c).cast(dtype) for c in cuts)), lambda cut: cut <= column))
     return F.when(column.isNull(), 0).otherwise(below).cast("int")
 
 
@@ -108,6 +100,20 @@ def hilbert_index(steps: Sequence[Column], bits: int = BITS) -> Column:
     return F.get(packed, 0)
 
 
+def _carried_names(carry: Sequence[str]) -> list[str]:
+    """Names of the carried columns in the result: their own, unless one of the result's or another carried one."""
+    taken = set(_OUT) | {c.lower() for c in carry}
+    names = []
+    for name in carry:
+        if name.lower() in _OUT:
+            name = f"carried_{name}"
+            while name.lower() in taken:
+                name = f"carried_{name}"
+            taken.add(name.lower())
+        names.append(name)
+    return names
+
+
 def shard_documents(
     docs: DataFrame,
     shards: int,
@@ -122,23 +128,25 @@ def shard_documents(
     NULL text, which has no bytes), law (``rows``), shard from 0, slot in the shard from 0 without gaps, grown_shard (NULL: under
     this law more shards move many rows), curve, and the columns in ``carry``. Rows at one place of the curve
     are ordered by checksum and doc_id, so equal texts stand together. NULLs come first; a NULL text has size
-    8. Fewer rows than shards leave shards empty. No row in gives no row out.
+    8. A carried column of a name that is returned anyway, in any case, gets ``carried_`` before its name. Fewer
+    rows than shards leave shards empty. No row in gives no row out.
     """
     text = F.col("text").cast("string")
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
     if dimensions is None:
         dimensions = {n: F.col(n) for n in ("lang", "source") if n in docs.columns} | {"size": size}
     names = [f"_d{i}" for i in range(len(dimensions))]
-    kinds = dict(docs.select(*(c.alias(n) for n, c in zip(names, dimensions.values()))).dtypes)
+    of = dict(zip(names, dimensions.values()))
+    of = {n: ordered(of[n], dtype) for n, dtype in docs.select(*(c.alias(n) for n, c in of.items())).dtypes}
     keyed = docs.select(
         F.col("doc_id").alias("_id"),
         size.alias("_size"),
         F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).alias("_crc"),
-        *(ordered_number(c, kinds[n]).alias(n) for n, c in zip(names, dimensions.values())),
+        *(c.alias(n) for n, c in of.items()),
         F.struct(*(F.col(f"`{c}`") for c in carry)).alias("_carry") if carry else F.lit(None).cast("int").alias("_carry"),
     )
-    cuts = _cuts(keyed, names, 1 << bits)
-    curve = hilbert_index([_step(F.col(n), cuts[n]) for n in names], bits)
+    kinds = dict(keyed.dtypes)
+    curve = hilbert_index([_step(F.col(n), _cuts(keyed, n, 1 << bits), kinds[n]) for n in names], bits)
     order = ["_curve", "_crc", "_id"]
     # Written once, so that no position can shift if a task is redone.
     placed = written(
@@ -172,5 +180,5 @@ def shard_documents(
         (F.col("_at") - start).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
         F.col("_curve").alias("curve"),
-        *(F.col("_carry")[c].alias(c) for c in carry),
+        *(F.col("_carry").getField(c).alias(n) for c, n in zip(carry, _carried_names(carry))),
     )

@@ -266,6 +266,40 @@ def test_shard_cases(spark):
     assert hilbert.shard_documents(_docs(spark, []), 4).count() == 0
 
 
+def test_carried_columns_may_have_any_name(spark):
+    docs = _docs(spark).withColumns({"Curve": F.lit("c"), "shard": F.lit("s"), "carried_shard": F.lit("t"), "size": F.lit(-1)})
+    carry = ["text", "Curve", "shard", "carried_shard", "size"]
+    rows = hilbert.shard_documents(docs, 2, carry=carry).collect()
+    assert len(rows) == len(TEXTS)
+    assert {(r.carried_Curve, r.carried_carried_shard, r.carried_shard, r.carried_size) for r in rows} == {("c", "s", "t", -1)}
+    assert {r.shard for r in rows} == {0, 1} and min(r["size"] for r in rows) == 8
+
+
+def test_shards_hold_few_values_of_each_dimension(spark):
+    """Sources that differ late in their names and shares between 0 and 1, against the order worked out by hand."""
+    draw = random.Random(5)
+    rows = [(i, f"t{i}", f"https://source-{draw.randrange(8)}", draw.randrange(8) / 10) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, share double")
+    dims = {"source": F.col("source"), "share": F.col("share")}
+    out = hilbert.shard_documents(docs, 16, dims, carry=["source", "share"], bits=3).collect()
+    cells = spark.range(64).select((F.col("id") % 8).alias("x"), F.floor(F.col("id") / 8).alias("y"))
+    place = {(r.x, r.y): r.at for r in cells.select("x", "y", hilbert.hilbert_index([F.col("x"), F.col("y")], 3).alias("at")).collect()}
+    steps = [{v: k for k, v in enumerate(sorted({r[c] for r in rows}))} for c in (2, 3)]
+    crc = {r.doc_id: r.text_crc32 for r in out}
+    order = sorted(rows, key=lambda r: (place[steps[0][r[2]], steps[1][r[3]]], crc[r[0]], r[0]))
+    wanted = {r[0]: (at * 16 // 800, at % 50) for at, r in enumerate(order)}
+    assert {r.doc_id: (r.shard, r.slot) for r in out} == wanted
+    for shard in range(16):
+        mine = [r for r in out if r.shard == shard]
+        assert len({r.source for r in mine}) * len({r.share for r in mine}) <= 16
+
+
+def test_dimensions_of_any_type(spark):
+    docs = spark.createDataFrame([(1, "a", None, {"k": 1}), (2, "b", float("nan"), None), (None, None, 0.5, {})], "doc_id long, text string, x double, m map<string,int>")
+    rows = hilbert.shard_documents(docs, 2, {"x": F.col("x"), "m": F.col("m")}).collect()
+    assert sorted((r.shard, r.slot) for r in rows) in ([(0, 0), (0, 1), (1, 0)], [(0, 0), (1, 0), (1, 1)])
+
+
 def test_codes_give_any_token():
     draw = np.random.default_rng(1)
     ids = np.where(draw.random(20_000) < 0.3, draw.integers(0, 200, 20_000), draw.integers(0, 1 << 22, 20_000)).astype("<u4")
