@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltstone.llm import hilbert, ngram_join, queries, templates, toxicity
 from siltstone.session import written
@@ -33,7 +34,9 @@ def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return queries.mixed(queries.measured(docs)).where("mix_kept").select(*docs.columns)
+    # Whole rows are kept aside, so that no column of theirs meets one that the operator adds.
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_document")
+    return queries.mixed(queries.measured(docs.select("doc_id", "source", "lang", "text", row))).where("mix_kept").select("_document.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
