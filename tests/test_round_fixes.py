@@ -86,3 +86,24 @@ def test_a_cluster_needs_a_shared_folder():
 def test_a_target_over_its_source_is_refused():
     with pytest.raises(ValueError):
         guard_target("s3a://lake/raw/curated", ["s3a://lake/raw"])
+
+
+@pytest.mark.parametrize(
+    "target, source, refused",
+    [
+        ("s3a://lake/raw/../raw/x", "s3a://lake/raw", True),
+        ("s3a://lake//raw/./x/", "s3://lake/raw", True),
+        ("/lake/curated/../raw", "file:///lake/raw", True),
+        ("file:/lake", "/lake/raw", True),
+        ("/", "/lake/raw", True),
+        ("s3a://lake/raw#2/x", "s3a://lake/raw", False),
+        ("s3a://lake/raw2", "s3a://lake/raw", False),
+        ("s3a://other/raw", "s3a://lake/raw", False),
+    ],
+)
+def test_targets_are_guarded_however_they_are_spelled(target, source, refused):
+    if refused:
+        with pytest.raises(ValueError, match="overlaps"):
+            guard_target(target, [source])
+    else:
+        guard_target(target, [source])
