@@ -7,6 +7,7 @@ hold as many files as the lake does.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from siltstone.session import written
 from siltstone.sources.schemas import FILE_ENTRY, INGEST_DT, INVENTORY
 
 STATE_COLUMNS = tuple(FILE_ENTRY.names)
+#: Latest dates, one per dataset, that may become literals of a filter.
+DATASETS_AS_LITERALS = 5_000
 
 
 @dataclass(frozen=True)
@@ -203,12 +206,21 @@ def bind_dates(files: DataFrame, datasets: list[str]) -> dict[str, str]:
     return dates
 
 
-def keep_latest(rows: DataFrame, files: DataFrame) -> DataFrame:
+def keep_latest(rows: DataFrame, files: DataFrame, literals: int = DATASETS_AS_LITERALS) -> DataFrame:
     """Rows of each dataset's own latest date, for frames that hold many datasets.
 
-    The dates, one row per dataset, are written first, so that the join is planned by their true size.
+    The (dataset, date) pairs, one per dataset, become literals, so that a table in folders is pruned before
+    it is read. More than ``literals`` of them are written and joined instead.
     """
-    return rows.join(written(latest_dates(files), "latest-dates"), ["dataset_key", INGEST_DT], "left_semi")
+    latest = latest_dates(files).where(F.col("dataset_key").isNotNull() & F.col(INGEST_DT).isNotNull())
+    pairs = latest.limit(literals + 1).collect()
+    if len(pairs) > literals:
+        return rows.join(written(latest, "latest-dates"), ["dataset_key", INGEST_DT], "left_semi")
+    datasets: dict[str, list[str]] = {}
+    for pair in pairs:
+        datasets.setdefault(pair[INGEST_DT], []).append(pair["dataset_key"])
+    wanted = [F.col("dataset_key").isin(sorted(keys)) & (F.col(INGEST_DT) == date) for date, keys in sorted(datasets.items())]
+    return rows.where(reduce(lambda a, b: a | b, wanted, F.lit(False)))
 
 
 def partition_plan(files: DataFrame, tables: DataFrame, root: str = "") -> DataFrame:

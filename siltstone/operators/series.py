@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from siltstone.session import written
 
 PIECE_ROWS = 1_000_000
+#: Spark's own bound for limiting ranks before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+RANKED_IN_TASK = 1_000
 # monotonically_increasing_id keeps the partition number above this bit.
 _PARTITION_BIT = 33
 
@@ -27,35 +29,42 @@ def join_null_safe(left: DataFrame, right: DataFrame, names: Sequence[str], how:
     return left.join(renamed, on, how).drop(*(f"_r_{n}" for n in names))
 
 
-def with_row_index(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "row_index") -> DataFrame:
-    """0-based position of each row in its group.
+def _placed(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows range-partitioned by (group, order) and sorted, with their place and range, written once.
 
-    Rows are range-partitioned by (group, order) and sorted, which cuts a large group over several
-    partitions. They are written once, so that positions cannot shift if a task is redone. What each
-    partition holds of each group (one small row) then gives the offset to add. ``order`` should end
-    in a unique column, or ties are numbered in no fixed order.
+    A large group is cut over several partitions. Places cannot shift if a task is redone.
     """
     keys = [*group, *order]
-    placed = written(
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_place", F.monotonically_increasing_id()),
-        "row-index",
-    ).withColumn("_range", F.shiftright("_place", _PARTITION_BIT))
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = written(placed.withColumn("_place", F.monotonically_increasing_id()), "row-index")
+    return placed.withColumn("_range", F.shiftright("_place", _PARTITION_BIT))
+
+
+def _with_spans(placed: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Placed rows with what their range holds of their group: _first place, _held rows, _before and _after it.
+
+    One small row per group and range is written, so that the planner knows their size and broadcasts
+    them if small, without first shuffling the rows they are joined to.
+    """
     held = placed.groupBy(*group, "_range").agg(F.min("_place").alias("_first"), F.count("*").alias("_held"))
-    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # Written, so that the planner knows their size and broadcasts them if small, without first
-    # shuffling the rows they are joined to.
-    offsets = written(
-        held.select(
-            *group,
-            "_range",
-            (F.coalesce(F.sum("_held").over(before), F.lit(0)) - F.col("_first")).alias("_offset"),
-        ),
-        "row-offsets",
+    ranges = Window.partitionBy(*group).orderBy("_range")
+    before = F.sum("_held").over(ranges.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.sum("_held").over(ranges.rowsBetween(1, Window.unboundedFollowing))
+    spans = held.select(
+        *group, "_range", "_first", "_held",
+        F.coalesce(before, F.lit(0)).alias("_before"), F.coalesce(after, F.lit(0)).alias("_after"),
     )
-    return join_null_safe(placed, offsets, [*group, "_range"]).select(
-        *df.columns, (F.col("_place") + F.col("_offset")).alias(name)
+    return join_null_safe(placed, written(spans, "row-offsets"), [*group, "_range"])
+
+
+def with_row_index(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "row_index") -> DataFrame:
+    """0-based position of each row in its group.
+
+    What each range of the sorted rows holds of each group gives the offset to add to a row's place.
+    ``order`` should end in a unique column, or ties are numbered in no fixed order.
+    """
+    return _with_spans(_placed(df, group, order), group).select(
+        *df.columns, (F.col("_place") - F.col("_first") + F.col("_before")).alias(name)
     )
 
 
@@ -90,10 +99,18 @@ def moving_averages(
 
 
 def last_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int = 1) -> DataFrame:
-    """The last ``n`` rows per group. The rank limit is applied in each task before the shuffle, so at
-    most n rows per group and task are moved."""
-    newest_first = Window.partitionBy(*group).orderBy(*(F.col(c).desc() for c in order))
-    return df.withColumn("_rank", F.row_number().over(newest_first)).where(F.col("_rank") <= n).drop("_rank")
+    """The last ``n`` rows per group; of rows that tie on ``order`` any may be taken.
+
+    Up to ``RANKED_IN_TASK`` rows, Spark limits the rank in each task before the shuffle, so at most n rows
+    per group and task are moved. Beyond, it would send whole groups to one task each; a row's rank is then
+    what comes after it in its range and group plus what later ranges hold of the group.
+    """
+    if n <= RANKED_IN_TASK:
+        newest_first = Window.partitionBy(*group).orderBy(*(F.col(c).desc() for c in order))
+        return df.withColumn("_rank", F.row_number().over(newest_first)).where(F.col("_rank") <= n).drop("_rank")
+    spans = _with_spans(_placed(df, group, order), group)
+    later = F.col("_first") + F.col("_held") - 1 - F.col("_place") + F.col("_after")
+    return spans.where(later < n).select(*df.columns)
 
 
 def latest_summary(df: DataFrame, group: Sequence[str], order: Sequence[str], date: str, value: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from siltstone.operators import keys, series
+from siltstone.operators import incremental, keys, profile, series
 from siltstone.plans import models
 from siltstone.plans.calendar import dim_date
 from siltstone.sources.readers import at_date
@@ -113,3 +113,46 @@ def test_hot_key_of_the_region_lookup_is_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_latest_dates_prune_folders(spark, tmp_path):
+    rows = [("a", "2024-01-01", 1), ("a", "2024-01-08", 2), ("b", "2024-01-01", 3), ("c", "2023-01-01", 4)]
+    files = spark.createDataFrame(rows, "dataset_key string, ingest_dt string, n int")
+    files.write.partitionBy("dataset_key", "ingest_dt").parquet(f"{tmp_path}/t")
+    stored = spark.read.schema(files.schema).parquet(f"{tmp_path}/t")
+    latest = incremental.keep_latest(stored, files.where("n < 4"))
+    assert sorted(r.n for r in latest.collect()) == [2, 3]
+    text = plan(latest)
+    filters = next(line for line in text.split("\n") if "PartitionFilters" in line).split("PartitionFilters: ")[1]
+    assert "dataset_key" in filters and "ingest_dt" in filters and "Join" not in text and "Filter (" not in text
+    joined = incremental.keep_latest(stored, files.where("n < 4"), literals=1)
+    assert sorted(r.n for r in joined.collect()) == [2, 3]
+    assert incremental.keep_latest(stored, files.limit(0)).count() == 0
+
+
+def _exchanged(df) -> list[str]:
+    """What each exchange of the plan moves, as name:type."""
+    top, found = df._jdf.queryExecution().executedPlan(), []
+    stack = [top.initialPlan() if "AdaptiveSparkPlan" in top.nodeName() else top]
+    while stack:
+        at = stack.pop()
+        if "Exchange" in at.nodeName():
+            output = at.output()
+            found += [f"{output.apply(i).name()}:{output.apply(i).dataType().simpleString()}" for i in range(output.length())]
+        stack += [at.children().apply(i) for i in range(at.children().length())]
+    return found
+
+
+def test_no_text_is_shuffled_by_column_statistics(spark):
+    texts = table(spark, SF_DIR, "documents")
+    for df in (profile.column_stats(texts), profile.uniqueness(texts, ["source", "text"])):
+        moved = _exchanged(df)
+        assert any(m.endswith(":binary") for m in moved)
+        assert not [m for m in moved if m.endswith(":string")], moved
+
+
+def test_key_rounds_shuffle_classes_not_keys(spark):
+    docs = table(spark, SF_DIR, "documents").select("doc_id", "source", "lang", "text")
+    left, at = profile.key_classes(docs, docs.columns, "source", docs.count())
+    moved = set(_exchanged(left.refined(at["lang"]).pairs([at["doc_id"], at["text"]])))
+    assert moved == {"k0:binary", "position:int", "value:binary", "count:bigint"}, moved

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from siltstone.operators import series
 
@@ -89,3 +90,20 @@ def test_latest_summary(df, data):
     row = series.latest_summary(df, ["g"], ["d", "id"], "d", "v").first()
     assert (row.group_cnt, pd.Timestamp(row.latest)) == (len(latest), latest["d"].max())
     assert (row.min_value, row.max_value) == (latest["v"].min(), latest["v"].max())
+
+
+def test_many_last_rows_of_one_group(spark):
+    """Beyond the rank limit no window over a group is planned; NULL orders go first, so they come last here."""
+    n = 12_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise(F.when(F.col("id") % 2 == 0, "cold")).alias("g"),
+        F.when(F.col("id") % 11 > 0, F.col("id") % 500).alias("d"), "id",
+    )
+    found = series.last_rows(rows, ["g"], ["d", "id"], 5_000)
+    wanted = []
+    for g in ("hot", "cold", None):
+        ids = [i for i in range(n) if ("hot" if i % 3 else "cold" if i % 2 == 0 else None) == g]
+        wanted += sorted(ids, key=lambda i: (i % 500 if i % 11 else -1, i))[-5_000:]
+    assert sorted(r.id for r in found.collect()) == sorted(wanted) and found.columns == rows.columns
+    assert "row_number" not in found._jdf.queryExecution().executedPlan().toString()
+    assert series.last_rows(rows.limit(0), ["g"], ["d"], 5_000).count() == 0
