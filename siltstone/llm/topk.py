@@ -8,7 +8,9 @@ the least cosine a vector must have. Where that is high, vectors are pruned by s
 vector that close to the query has its coordinates in narrow ranges. Where it is low, only vectors too
 short are pruned. What is left is multiplied in full.
 
-Queries are cut into blocks. A block of queries and a bucket meet in one task, which holds nothing else.
+Queries are put in order of how far they reach and cut into blocks, so those of a block visit much the same
+buckets. A block of queries and a bucket that one of them visits meet in one task, which holds nothing else;
+buckets that no query of a block visits are not sent to it.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ QUERY_ROWS = 4_096
 #: Least cosine from which coordinates prune better than lengths, and coordinates looked at.
 COORDINATES_FROM = 0.8
 COORDINATES = 4
+_NONE = pd.DataFrame({"at": [], "query_id": [], "vec_id": [], "score": []}, dtype="int64")
 _EXACT_SINGLE, _EXACT_DOUBLE, _LONG = 2.0**24, 2.0**53, (1 << 63) - 1
 
 
@@ -68,10 +71,14 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def search_bucket(queries: pd.DataFrame, bucket: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best of a bucket for each query (vec_id, vector, norm, theta), none below the query's theta."""
+    """The k best of a bucket for each query (at, vec_id, vector, norm, theta), none below the query's theta.
+
+    ``at`` tells rows apart: only the query's own row is no candidate.
+    """
     bucket = bucket.sort_values(["norm", "vec_id"], ascending=[False, True])
     q, p = _fitted(_matrix(queries["vector"]), _matrix(bucket["vector"]))
     ids, norms = bucket["vec_id"].to_numpy(), bucket["norm"].to_numpy(dtype=np.float64)
+    own, q_own = bucket["at"].to_numpy(), queries["at"].to_numpy()
     q_ids, q_norms = queries["vec_id"].to_numpy(), queries["norm"].to_numpy(dtype=np.float64)
     theta = queries["theta"].to_numpy(dtype=np.float64)
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -82,11 +89,11 @@ def search_bucket(queries: pd.DataFrame, bucket: pd.DataFrame, k: int) -> pd.Dat
     by_coordinate = (cosine >= COORDINATES_FROM) & (cosine <= 1 + 1e-9)
     found = []
 
-    def keep(row: int, scores: np.ndarray, own: np.ndarray) -> None:
-        fine = (scores >= theta[row]) & (own != q_ids[row])
-        scores, own = scores[fine], own[fine]
-        best = _best(scores, own, k)
-        found.append((np.full(len(best), q_ids[row]), own[best], scores[best]))
+    def keep(row: int, scores: np.ndarray, rows: np.ndarray) -> None:
+        fine = (scores >= theta[row]) & (own[rows] != q_own[row])
+        scores, near = scores[fine], ids[rows[fine]]
+        best = _best(scores, near, k)
+        found.append((np.full(len(best), q_own[row]), np.full(len(best), q_ids[row]), near[best], scores[best]))
 
     for row in np.flatnonzero(by_coordinate & (reach > 0)):
         end, unit = reach[row], q[row].astype(np.float64) / q_norms[row]
@@ -100,17 +107,17 @@ def search_bucket(queries: pd.DataFrame, bucket: pd.DataFrame, k: int) -> pd.Dat
             low = -1.0 if unit[at] < -close else close * unit[at] - side
             high = 1.0 if unit[at] > close else close * unit[at] + side
             stays = stays[(part >= low) & (part <= high)]
-        keep(row, p[stays] @ q[row], ids[stays])
+        keep(row, p[stays] @ q[row], stays)
     plain = np.flatnonzero(~by_coordinate & (reach > 0))
     plain = plain[np.argsort(-reach[plain], kind="stable")]
     for lo in range(0, len(plain), 256):
         rows = plain[lo : lo + 256]
         products = q[rows] @ p[: reach[rows].max()].T
         for row, scores in zip(rows, products):
-            keep(row, scores, ids[: len(scores)])
+            keep(row, scores, np.arange(len(scores)))
     if not found:
-        return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-    out = pd.DataFrame({n: np.concatenate(c) for n, c in zip(("query_id", "vec_id", "score"), zip(*found))})
+        return _NONE
+    out = pd.DataFrame({n: np.concatenate(c) for n, c in zip(_NONE.columns, zip(*found))})
     if out["score"].dtype == object:
         out["score"] = out["score"].map(lambda s: max(-_LONG - 1, min(_LONG, int(s))))
     return out.astype({"score": "int64"})
@@ -120,7 +127,7 @@ def _task(k: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         queries, bucket = frame[frame["asks"]], frame[~frame["asks"]]
         if not len(queries) or not len(bucket):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+            return _NONE
         return search_bucket(queries, bucket, k)
 
     return run
@@ -137,39 +144,45 @@ def top_products(
     """For each row that meets ``queries``, the k others of highest inner product: query_id, rank, vec_id, score.
 
     Reads vec_id and ``vector``, an array of integers. Ties go to the smaller vec_id; with k others or fewer
-    all are returned. Rows without vec_id or vector take no part. Rows that repeat a vec_id count once, with
-    the least vector. Vectors of unequal length are filled with zeros. A score beyond the range of a long
+    all are returned. Rows without vec_id or vector take no part. Rows that repeat a vec_id are rows of their own:
+    each is a candidate, also for the other, and each that asks gets its own k rows. Vectors of unequal length are filled with zeros. A score beyond the range of a long
     becomes its end. No query gives no row.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<bigint>").alias("vector"))
-    rows = rows.where("vec_id is not null and vector is not null").groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    rows = rows.where("vec_id is not null and vector is not null")
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     rows = rows.withColumn("norm", F.sqrt(square)).withColumn("asks", queries)
     placed = with_total_before(
         rows.withColumn("_falling", -F.col("norm")).withColumn("_one", F.lit(1)), ["_falling", "vec_id"], "_one", "at"
     )
-    placed = placed.select("vec_id", "vector", "norm", "asks", F.expr(f"cast(at div {bucket_rows} as int)").alias("bucket"))
+    placed = placed.select(
+        "at", "vec_id", "vector", "norm", "asks", F.expr(f"cast(at div {bucket_rows} as int)").alias("bucket")
+    )
     placed = written(placed, "topk-buckets")
     longest = placed.groupBy("bucket").agg(F.max("norm").alias("norm")).orderBy("bucket").collect()  # one per bucket
-    asking = placed.where("asks").select("vec_id", "vector", "norm")
+    asking = placed.where("asks").select("at", "vec_id", "vector", "norm")
     blocks = max(1, -(-asking.count() // query_rows))
-    asking = asking.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-
-    def met(questions: DataFrame, buckets: DataFrame) -> DataFrame:
-        """Best rows of each block of queries in each bucket it visits."""
-        asked = questions.select("block", "bucket", F.lit(True).alias("asks"), "vec_id", "vector", "norm", "theta")
-        every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-        held = buckets.select(
-            every.alias("block"), "bucket", F.lit(False).alias("asks"), "vec_id", "vector", "norm",
+
+    def met(questions: DataFrame, buckets: DataFrame, start: int) -> DataFrame:
+        """Best rows for each question (block, reach, theta) in the buckets from ``start`` to its reach."""
+        visited = F.explode(F.sequence(F.lit(start), F.col("reach") - 1)).alias("bucket")
+        questions = questions.where(F.col("reach") > start)
+        asked = questions.select("block", visited, F.lit(True).alias("asks"), "at", "vec_id", "vector", "norm", "theta")
+        # A few numbers per block, written: the join to them is planned by their true size.
+        runs = questions.groupBy("block").agg(F.max("reach").alias("reach"))
+        held = buckets.join(written(runs.select("block", visited), "topk-visits"), "bucket").select(
+            "block", "bucket", F.lit(False).alias("asks"), "at", "vec_id", "vector", "norm",
             F.lit(None).cast("double").alias("theta"),
         )
         pairs = asked.unionByName(held).groupBy("block", "bucket")
-        return pairs.applyInPandas(_task(k), "query_id long, vec_id long, score long")
+        return pairs.applyInPandas(_task(k), "at long, query_id long, vec_id long, score long")
 
     least = F.lit(float("-inf"))
-    first = met(asking.select("*", F.lit(0).alias("bucket"), least.alias("theta")), placed.where("bucket = 0"))
-    first = first.groupBy("query_id").agg(F.min("score").alias("worst"), F.count("*").alias("n"))
-    theta = written(first.where(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), "worst"), "topk-theta")
+    any_block = F.pmod(F.xxhash64("at"), F.lit(blocks)).alias("block")
+    first = met(asking.select("*", any_block, F.lit(1).alias("reach"), least.alias("theta")), placed.where("bucket = 0"), 0)
+    first = written(first, "topk-first")
+    worst = first.groupBy("at").agg(F.min("score").alias("worst"), F.count("*").alias("n"))
+    theta = written(worst.where(F.col("n") >= k).select("at", "worst"), "topk-theta")
 
     norms = np.array([-r["norm"] for r in longest])
 
@@ -181,12 +194,12 @@ def top_products(
 
     # A hair of room, where a long is rounded to a double.
     floor = F.col("worst").cast("double") - F.abs(F.col("worst").cast("double")) * 1e-12
-    bounded = asking.join(theta, "vec_id", "left").withColumn("theta", F.coalesce(floor, least))
-    reach = buckets_in_reach("norm", "theta")
-    visits = bounded.withColumn("reach", reach).where("reach > 0")
-    visits = visits.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.col("reach") - 1)))
-    found = met(visits, placed)
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    bounded = asking.join(theta, "at", "left").withColumn("theta", F.coalesce(floor, least))
+    bounded = bounded.withColumn("reach", buckets_in_reach("norm", "theta")).withColumn("_one", F.lit(1))
+    bounded = with_total_before(bounded, ["reach", "at"], "_one", "_asked")
+    bounded = written(bounded.withColumn("block", F.expr(f"_asked div {query_rows}")), "topk-questions")
+    found = first.unionByName(met(bounded, placed, 1))
+    ranked = Window.partitionBy("at").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
     )

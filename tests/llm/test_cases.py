@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.llm import dac, hilbert, lines, mixing, ngram_join, queries, templates, topk, toxicity, urls, warc
-from siltstone.session import fresh_path
+from siltstone.session import fresh_path, written
 
 LONG = " ".join(f"w{i % 997}x{i}" for i in range(60_000))
 TEXTS = [
@@ -112,18 +112,44 @@ def test_top_products_equal_all_products(spark):
     draw = random.Random(9)
     rows = [(i, [draw.randrange(-6, 7) for _ in range(6)]) for i in range(60)]
     rows += [(60, [0] * 6), (61, rows[3][1]), (62, rows[3][1])]
-    odd = [(None, [1] * 6), (70, None), (3, rows[3][1])]
+    # Repeated ids: one with its own vector, one as a query with another.
+    rows += [(3, rows[3][1]), (8, [6, 0, 0, 0, 0, 6])]
+    odd = [(None, [1] * 6), (70, None)]
     df = spark.createDataFrame(rows + odd, "vec_id long, vector array<long>").withColumn("norm", F.lit("x"))
     expected = []
-    for q, a in rows:
+    for own, (q, a) in enumerate(rows):
         if q % 4 == 0:
-            scores = sorted((-sum(x * y for x, y in zip(a, b)), v) for v, b in rows if v != q)[:5]
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), v) for i, (v, b) in enumerate(rows) if i != own)[:5]
             expected += [(q, k + 1, v, -s) for k, (s, v) in enumerate(scores)]
     found = topk.top_products(df, F.col("vec_id") % 4 == 0, 5, bucket_rows=7, query_rows=4).collect()
     assert sorted(map(tuple, found)) == sorted(expected)
     assert topk.top_products(df.limit(0), F.col("vec_id") % 4 == 0, 5).count() == 0
 
 
+def test_top_products_send_only_visited_buckets(spark, monkeypatch):
+    """Short rows that no query can reach are in no (block, bucket) pair; far-reaching queries share a block."""
+    rows = [(i, [900 - i, 1]) for i in range(40)] + [(40 + i, [1, i % 2]) for i in range(400)] + [(999, [0, 0])]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    visits = []
+
+    def kept(frame, name):
+        out = written(frame, name)
+        visits.extend(map(tuple, out.collect()) if name == "topk-visits" else [])
+        return out
+
+    monkeypatch.setattr(topk, "written", kept)
+    asks = F.col("vec_id").isin(0, 4, 8, 12, 999)
+    found = topk.top_products(df, asks, 3, bucket_rows=20, query_rows=4).collect()
+    expected = []
+    for q, a in rows:
+        if q in (0, 4, 8, 12, 999):
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), v) for v, b in rows if v != q)[:3]
+            expected += [(q, k + 1, v, -s) for k, (s, v) in enumerate(scores)]
+    assert sorted(map(tuple, found)) == sorted(expected)
+    # Of the other 22 buckets, each is met by the block of the zero vector alone.
+    assert sorted(bucket for _, bucket in visits if bucket > 0) == list(range(1, 23))
+
+
 def test_warc_round_trip(spark):
     big = "é" * 600
     rows = [(1, "http://a/x", big), (2, "http://a/y", big), (3, None, None), (4, "http://a/z", "s"), (5, "u", "s"), (6, "", "")]
@@ -163,18 +189,20 @@ def test_url_filter_cases(spark):
 ITEM = "Maria bought 12 apples for 3 dollars and gave 12 of them to her brother in Paris before lunch on the way home"
 
 
-def test_templates_find_new_values_only_if_consistent(spark):
+def test_templates_find_new_values_as_far_as_they_are_consistent(spark):
     other = ITEM.replace("Maria", "Anna").replace("12", "15").replace("3 d", "4 d").replace("Paris", "Rome")
     uneven = ITEM.replace("12", "15", 1).replace("gave 12", "gave 17")
     rows = [(101, f"intro words here. {ITEM}."), (102, f"Some {other} end"), (103, uneven), (104, "nothing of it " * 9)]
+    # No 13 words in a row are left that are the item's, or give each value one other.
+    rows.append((105, uneven.replace("apples", "pears").replace("her", "his").replace("lunch", "dinner")))
     bench = [(1, ITEM), (2, None), (3, "too short"), (None, ITEM)]
     items = spark.createDataFrame(bench, "item_id long, text string")
     docs = _docs(spark, rows + TEXTS)
     found = {(r.doc_id, r.item_id): r for r in templates.contaminated(docs, items).collect()}
-    assert set(found) == {(101, 1), (102, 1)}
+    assert set(found) == {(101, 1), (102, 1), (103, 1)} and found[103, 1].run >= 13
     assert found[101, 1].replaced == 0 and found[102, 1].replaced > 0
     kept = templates.keep_uncontaminated(docs, items)
-    assert kept.count() == len(rows + TEXTS) - 2 and kept.columns == docs.columns
+    assert kept.count() == len(rows + TEXTS) - 3 and kept.columns == docs.columns
     assert templates.contaminated(docs.limit(0), items).count() == 0
     assert templates.keep_uncontaminated(docs, items.limit(0)).count() == docs.count()
 
@@ -229,11 +257,19 @@ def test_raking_meets_its_margins(spark):
         for value, share in target.items():
             held = sum(r.mix_weight * r.mix_tokens for r in found if r[name] == value)
             assert held / total == pytest.approx(share, abs=1e-3)
+    assert max(r.mix_gap for r in found) < 1e-3
     kept = sum(r.mix_tokens * r.mix_probability for r in found)
     assert kept == pytest.approx(0.2 * sum(r[3] for r in rows), rel=1e-6)
     assert mixing.mix(docs.limit(0), targets, 0.2).count() == 0
 
 
+def test_margins_that_cannot_all_hold_show_their_gap(spark):
+    rows = [(i, "ab"[i % 2], "xy"[i % 2], 5) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, s string, l string, mix_tokens long")
+    found = mixing.mix(docs, {"s": {"a": 0.9, "b": 0.1}, "l": {"x": 0.1, "y": 0.9}}, 0.2).collect()
+    assert len(found) == 40 and all(r.mix_gap == pytest.approx(0.8, abs=1e-3) for r in found)
+
+
 def test_mixing_keeps_languages_without_a_target(spark):
     langs = ["en", "de", "fr", "es", "it", None]
     rows = [(i, langs[i % 6], f"s{i % 2}", "prose", 10 + i % 7) for i in range(600)]
