@@ -211,8 +211,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataF
     as it stands. At least half of a run with new values are literal words; a copy as it stands may be all
     slots. Each pair comes once, with the run that covers most of the item.
 
-    Where a document lines up with a whole item but gives one of its values two others, it is another text
-    on the same pattern and does not match, however long its parts are.
+    A value given two others breaks a run with new values there; what is left on either side counts like any
+    other run, also in a document that lines up with the whole item.
 
     Items of fewer than 8 tokens are found as they stand only. Items without words or item_id and NULL texts
     match nothing. Rows without doc_id are not judged. Rows of one doc_id count as one document; equal items
@@ -254,14 +254,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataF
     laid = once(laid, marks=F.transform(zipped, mark))
     whole = once(laid, whole=_longest_run(F.transform("marks", lambda m: m["equal"]))["best"]).where(F.col("whole") >= need)
     whole = once(whole, slots=F.filter("marks", lambda m: m["slot"] & m["equal"]))
-    # Values given two others in a document that lines up with the whole item.
-    changed = F.array_distinct(
-        F.transform(
-            F.filter("slots", lambda s: s["want"] != s["got"]), lambda s: F.struct(s["kind"], s["want"], s["got"])
-        )
-    )
-    values = F.array_distinct(F.transform(changed, lambda s: F.struct(s["kind"], s["want"])))
-    whole = whole.where((F.col("whole") < size) | (F.size(changed) == F.size(values)))
 
     as_it_stands = _longest_run(F.transform("marks", lambda m: m["equal"] & (m["want"] == m["got"])))
     after, balance, new_values = _consistent_run("marks", need)
