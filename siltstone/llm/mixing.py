@@ -86,7 +86,9 @@ def rake(cells: DataFrame, targets: Mapping[str, Target]) -> DataFrame:
     """``cells`` (the target columns and tokens) with ``weight``: tokens scaled so that each margin has its shares.
 
     Weights add up to 1 and keep the cells' odds ratios. Cells without tokens get weight 0. Margins that no
-    scaling can meet at once, because cells are missing, end as near as the last sweep came.
+    scaling can meet at once, because cells are missing, end as near as the last sweep came: ``gap`` is the
+    largest distance between what a value of the cell holds in the end and its share, next to 0 where all
+    margins of the cell are met.
     """
     names = list(targets)
     parts = max(1, -(-cells.count() // CELLS))
@@ -102,7 +104,7 @@ def rake(cells: DataFrame, targets: Mapping[str, Target]) -> DataFrame:
         # A value's cells, one per combination with the other margins: rows of a few numbers that spill.
         return F.sum("weight").over(Window.partitionBy(name))
 
-    gaps = [F.abs(now(name) - F.col(f"_s{k}")) for k, name in enumerate(names)]
+    gap = F.greatest(F.lit(0.0), F.lit(0.0), *(F.abs(now(name) - F.col(f"_s{k}")) for k, name in enumerate(names)))
     last = None
     for _ in range(LOOKS):
         for _ in range(SWEEPS):
@@ -110,11 +112,11 @@ def rake(cells: DataFrame, targets: Mapping[str, Target]) -> DataFrame:
                 scaled = F.when(F.col("_now") > 0, F.col("weight") * F.col(f"_s{k}") / F.col("_now")).otherwise(0.0)
                 state = state.withColumn("_now", now(name)).withColumn("weight", scaled).drop("_now")
         state = written(state, "mixing-cells").coalesce(parts)
-        off = state.select(F.greatest(F.lit(0.0), *gaps).alias("gap")).agg(F.max("gap")).first()[0] or 0.0
+        off = state.select(gap.alias("gap")).agg(F.max("gap")).first()[0] or 0.0
         if off < TOLERANCE or (last is not None and abs(last - off) < TOLERANCE / 10):
             break
         last = off
-    return state.drop(*(f"_s{k}" for k in range(len(names))))
+    return state.withColumn("gap", gap).drop(*(f"_s{k}" for k in range(len(names))))
 
 
 def with_probability(cells: DataFrame, budget: float) -> DataFrame:
@@ -149,10 +151,11 @@ def draw(key: Column, seed: int) -> Column:
 def mix(
     docs: DataFrame, targets: Mapping[str, Target], budget: float, key: str = "doc_id", seed: int = 0
 ) -> DataFrame:
-    """``docs`` with tokens, weight, probability and kept, named ``mix_...``.
+    """``docs`` with weight, probability, kept and gap, named ``mix_...``.
 
     ``docs`` must hold the columns named by ``targets`` and a column mix_tokens. weight is the factor on the
-    document's tokens that makes all margins hold; kept says whether the draw takes the document. NULL is a
+    document's tokens that makes all margins hold; kept says whether the draw takes the document; gap is how far
+    the document's values are from their shares in the end, where the margins cannot all hold. NULL is a
     value of a margin like any other. Documents without tokens have weight and probability 0 unless their
     cell holds tokens. Rows of one key share their draw.
     """
@@ -160,7 +163,7 @@ def mix(
     cells = docs.groupBy(*names).agg(F.sum("mix_tokens").alias("tokens"))
     cells = written(cells, "mixing-cells")
     fitted = written(with_probability(rake(cells, targets), budget), "mixing-fitted")
-    renamed = fitted.select(*(F.col(n).alias(f"_c_{n}") for n in names), "ratio", "probability", "tokens")
+    renamed = fitted.select(*(F.col(n).alias(f"_c_{n}") for n in names), "ratio", "probability", "gap")
     on = reduce(lambda a, b: a & b, (docs[n].eqNullSafe(renamed[f"_c_{n}"]) for n in names))
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     return docs.join(renamed, on).select(
@@ -168,4 +171,5 @@ def mix(
         (F.col("ratio") * F.lit(float(total))).alias("mix_weight"),
         F.col("probability").alias("mix_probability"),
         (draw(docs[key], seed) < F.col("probability")).alias("mix_kept"),
+        F.col("gap").alias("mix_gap"),
     )

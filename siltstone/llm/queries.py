@@ -115,7 +115,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Narrow rows, written: texts are measured once, not for the cells and again for the draw.
     docs = written(docs.drop("text"), "mixing-measured")
     return mixed(docs).select(
-        "doc_id", "source", "lang", "topic", "mix_tokens", "mix_weight", "mix_probability", "mix_kept"
+        "doc_id", "source", "lang", "topic", "mix_tokens", "mix_weight", "mix_probability", "mix_kept", "mix_gap"
     )
 
 
