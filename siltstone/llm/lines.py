@@ -30,8 +30,8 @@ from siltstone.session import fresh_path, written
 #: Hashes in a shard (16 bytes each and some bits) and bytes of shards that a task keeps loaded.
 SHARD_HASHES = 1 << 20
 LOADED_BYTES = 256 << 20
-#: Lines that probe together; the more, the less often a shard is loaded again.
-PROBED_LINES = 500_000
+#: Lines, and characters of their texts, that probe together; the more, the less often a shard is loaded again.
+PROBED_LINES, PROBED_CHARS = 500_000, 64 << 20
 LEVELS = 24
 _BLANK = " \t\n\x0b\x0c\r"
 
@@ -206,15 +206,16 @@ def _probed(folder: str, names: dict[int, str], shards: int, least: int, min_doc
             frame = pd.DataFrame(out, columns=["doc_id", "n_lines", "n_dropped", "kept"])
             return frame.astype({"doc_id": "Int64"})
 
-        rows, digests = [], []
+        rows, digests, held = [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 found = digest(_split(text))
                 rows.append((None if pd.isna(doc_id) else int(doc_id), text, len(found)))
                 digests += found
-                if len(digests) >= PROBED_LINES:
+                held += len(text or "")
+                if len(digests) >= PROBED_LINES or held >= PROBED_CHARS:
                     yield judged(rows, digests)
-                    rows, digests = [], []
+                    rows, digests, held = [], [], 0
         if rows:
             yield judged(rows, digests)
 
