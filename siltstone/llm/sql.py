@@ -101,15 +101,15 @@ from d
 
 TOP_K = """
 with v as (
-  select row_number() over () as at, vec_id, [cast(floor(64 * cast(x as double)) as bigint) for x in embedding] as g
+  select row_number() over () as row_no, vec_id, [cast(floor(64 * cast(x as double)) as bigint) for x in embedding] as g
   from embeddings
   where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0
 ), s as (
-  select q.at, q.vec_id as query_id, c.vec_id as vec_id,
+  select q.row_no, q.vec_id as query_id, c.vec_id as vec_id,
     cast(list_dot_product(cast(q.g as double[]), cast(c.g as double[])) as bigint) as score
-  from v q join v c on c.at <> q.at where q.vec_id % 20 = 0
+  from v q join v c on c.row_no <> q.row_no where q.vec_id % 20 = 0
 ), r as (
-  select query_id, row_number() over (partition by at order by score desc, vec_id) as rank, vec_id, score from s
+  select query_id, row_number() over (partition by row_no order by score desc, vec_id) as rank, vec_id, score from s
 )
 select query_id, rank, vec_id, score from r where rank <= 20
 """
