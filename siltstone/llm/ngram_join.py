@@ -1,9 +1,10 @@
 """N-gram Jaccard self-join as a blocked sparse product of the document by n-gram incidence matrix.
 
 The columns (n-grams) are cut into blocks by hash range. Documents of sizes that can meet the threshold
-differ in few n-grams, so with more blocks than that difference two linked documents agree on one whole
-block of columns: equal block sums name the pairs of row groups whose product is not bounded away
-beforehand. Those groups are then multiplied, block of columns by block of columns; overlap counts add
+differ in few n-grams, so with more blocks than that difference two linked documents agree on whole
+blocks of columns: equal block sums name the pairs of row groups whose product is not bounded away
+beforehand. With spare blocks they agree on several, so each document may leave out its lightest ones, which
+say least: a single n-gram of a common passage names no group. Those groups are then multiplied, block of columns by block of columns; overlap counts add
 up and pairs whose count cannot reach the size-derived bound any more are dropped on the way. No pair is sampled
 or left out: every linked pair is found and every link is counted in full, with n-grams told apart by 64-bit hashes.
 
@@ -67,32 +68,42 @@ class Threshold:
     def blocks(self, first_size: int) -> tuple[int, int]:
         """Blocks for pairs whose smaller size is in the class of ``first_size``, and most n-grams they differ in.
 
-        The spare blocks make up for those that happen to hold none of a document's n-grams.
+        The spare blocks make up for those that happen to hold none or one of a document's n-grams.
         """
         last_size = first_size * self.den // self.num
         differ = last_size * (self.den - self.num) // self.num
-        return differ + 1 + (differ // 12 + 3 if differ else 0), differ
+        return differ + 1 + (differ // 4 + 3 if differ else 0), differ
+
+    def most_differing(self, size_a: int, size_b: int) -> int:
+        """Most n-grams in which linked sets of these sizes can differ."""
+        return (size_a + size_b) * (self.den - self.num) // (self.den + self.num)
 
 
 def block_sums(grams: np.ndarray, threshold: Threshold, firsts: np.ndarray) -> np.ndarray:
-    """Sums that name what a document holds in each block of columns, for its size class and the one below.
+    """Sums that name what a document holds in its heaviest blocks of columns, for its size class and the one below.
 
-    An empty block is left out, unless so many are empty that two linked documents could agree on empty
-    ones alone.
+    A linked document differs from this one in ``differ`` n-grams at most, so all but ``differ`` of the filled blocks
+    are equal in both at least. With the blocks in one order, by weight and sum, which depends on what they hold alone,
+    the first equal one is therefore among the first ``differ`` + 1 of either. Where no more blocks are filled, two linked
+    documents could agree on empty ones alone, and all blocks have their sums.
     """
     own = int(np.searchsorted(firsts, len(grams), side="right")) - 1
     running = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5)))])
     out = []
     for kind in {own, max(own - 1, 0)}:
         count, differ = threshold.blocks(int(firsts[kind]))
+        # The largest partner: of this document as the smaller one, or of the class below.
+        largest = len(grams) * threshold.den // threshold.num if kind == own else int(firsts[own]) - 1
+        differ = min(differ, threshold.most_differing(len(grams), largest))
         at = ((grams >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
         edges = np.searchsorted(at, np.arange(count + 1, dtype=np.uint64))
         sums = running[edges[1:]] - running[edges[:-1]]
-        filled = edges[1:] > edges[:-1]
-        if count - int(filled.sum()) >= count - differ:
-            filled[:] = True
+        weights = edges[1:] - edges[:-1]
         place = np.arange(count, dtype=np.uint64) + np.uint64(kind << 32)
-        out.append(mix(sums + mix(place))[filled])
+        sums = mix(sums + mix(place))
+        if np.count_nonzero(weights) > differ:
+            sums = sums[np.lexsort((sums, -weights))[: differ + 1]]
+        out.append(sums)
     return np.concatenate(out)
 
 
@@ -453,8 +464,9 @@ def _refined(docs: DataFrame, rows: DataFrame, threshold: Threshold, words: int,
     as many as may differ and one more, in one order of all n-grams by rarity. Rows that meet on such an n-gram form
     the new groups; what thousands of texts have in common is rare in none of them and joins nothing.
     """
+    # As many slots as the n-grams need: each adds a row per document it has n-grams of.
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    slots = max(1, -(-4 * int(total) // block_grams), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    slots = max(1, -(-4 * int(total) // block_grams))
 
     def by_slot(of: DataFrame, what, schema: str) -> DataFrame:
         texts = docs.join(of.select("grp", "doc_id", "h1"), "doc_id").select("grp", "h1", "text")

@@ -409,3 +409,31 @@ def test_words_are_encoded_alike_joined_and_across_generations(monkeypatch):
         part = texts[lo : lo + 5]
         for text, ids in zip(part, encoder.encode(part)):
             assert np.frombuffer(ids, dtype="<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_common_passages_name_no_groups_of_the_ngram_join():
+    draw = np.random.default_rng(7)
+    threshold = ngram_join.Threshold(80, 100)
+    firsts = threshold.size_classes(1 << 10)
+    common = draw.integers(0, 1 << 64, 10, dtype=np.uint64)
+    texts = [np.concatenate([common, draw.integers(0, 1 << 64, 190, dtype=np.uint64)]) for _ in range(60)]
+    sums = [ngram_join.block_sums(np.sort(t), threshold, firsts) for t in texts]
+    _, a, b = ngram_join.linked_runs(np.concatenate(sums), np.repeat(np.arange(60), [len(s) for s in sums]))
+    assert len(ngram_join.forest(a, b)[0]) < 10
+
+
+@pytest.mark.parametrize("num", [50, 80, 90, 100])
+def test_linked_sets_share_a_block_sum(num):
+    draw = np.random.default_rng(num)
+    threshold = ngram_join.Threshold(num, 100)
+    firsts = threshold.size_classes(1 << 12)
+    met = 0
+    for _ in range(2_000):
+        size = int(draw.integers(1, 120))
+        one = draw.integers(0, 1 << 64, size, dtype=np.uint64)
+        less, more = draw.integers(0, size // 3 + 1), draw.integers(0, size // 2 + 1)
+        other = np.concatenate([one[less:], draw.integers(0, 1 << 64, more, dtype=np.uint64)])
+        if len(other) and threshold.holds(size - less, size, len(other)):
+            met += 1
+            assert np.intersect1d(*(ngram_join.block_sums(np.sort(x), threshold, firsts) for x in (one, other))).size
+    assert met > 20
