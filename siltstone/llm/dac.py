@@ -18,11 +18,12 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import filterfalse
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +37,8 @@ RANK_EVERY = 512
 #: Tokens after which a file is closed; a longer document is a file of its own.
 FILE_TOKENS = 8_000_000
 SHARD_TOKENS = 16_000_000
-#: Words a task remembers the ids of, in each of two generations, and new words encoded as one text.
-WORDS = 300_000
+#: Words a worker remembers the ids of, in each of two generations, and new words encoded as one text.
+WORDS = 500_000
 JOINED_WORDS = 64
 #: Texts and characters encoded at once; a longer text is encoded alone.
 PART_TEXTS, PART_CHARS = 256, 2_000_000
@@ -45,8 +46,8 @@ PART_TEXTS, PART_CHARS = 256, 2_000_000
 FRAME_DOCS, FRAME_TOKENS = 50_000, 1_000_000
 #: Stands for no doc_id in files, whose header counts how many of their first documents have none.
 NO_ID = -(1 << 63)
-#: Stops between an ASCII letter and white space or the end.
-_STOPS = re.compile(rb"(?<=[a-z])([.,;:!?]+)(?=[\x20\x09-\x0D]|\Z)")
+#: Stops between an ASCII letter and white space or the end. The search goes from stop to stop.
+_STOPS = re.compile(rb"[.,;:!?](?<=[a-z].)[.,;:!?]*(?=[\x20\x09-\x0D]|\Z)")
 
 _DRAFTS = (
     "draft string, name string, file_bytes long, shard int, number int, docs long, tokens long, "
@@ -258,30 +259,36 @@ class WordEncoder:
         return ids[0] == ids[1]
 
     def _gap(self) -> tuple[bytes, int | None]:
-        """The longest word of ASCII letters that is one token of its own, and its id; rare as a part of other words."""
-        words = {w.removesuffix("</w>") for w in self.tokenizer.get_vocab()}
-        for word in sorted((w for w in words if w.isascii() and w.isalpha()), key=lambda w: (-len(w), w))[:1_000]:
+        """A short word of ASCII letters that is one token of its own, and its id; learnt late, so rare in other words."""
+        words: dict[str, int] = {}
+        for token, number in self.tokenizer.get_vocab().items():
+            word = token.removesuffix("</w>")
+            if word.isascii() and word.isalpha():
+                words[word] = max(number, words.get(word, 0))
+        for word in sorted(words, key=lambda w: (max(len(w), 3), -words[w]))[:1_000]:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
             if len(ids) == 1:
                 return b" " + word.encode() + b" ", ids[0]
         return b" ", None
 
-    def cut(self, text: str | None) -> list[bytes]:
+    def folded(self, text: str | None) -> bytes:
+        """The text in UTF-8; where the tokenizer folds, with A-Z lower-cased and stops parted from words."""
         data = text.encode("utf-8", "replace") if text else b""
         # The marks U+0300 to U+037F may join a capital otherwise than its small letter.
         if self.folds and b"\xcc" not in data and b"\xcd" not in data:
             low = data.lower()
             if not any(s in low for s in self.special):
-                data = _STOPS.sub(rb" \1", low)
-        return data.split()
+                data = _STOPS.sub(rb" \g<0>", low)
+        return data
 
     def _ids(self, words: list[bytes]) -> list[np.ndarray]:
         texts = [w.decode("utf-8") for w in words]
         return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: set[bytes]) -> None:
+        self.young[b""] = b""  # between two white spaces
         new = []
-        for word in words:
+        for word in words - {b""}:
             held = self.old.get(word)
             if held is None:
                 new.append(word)
@@ -300,19 +307,37 @@ class WordEncoder:
         for word, ids in zip(alone, self._ids(alone)):
             self.young[word] = ids.tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers; none for NULL."""
-        cut = [self.cut(t) for t in texts]
-        missing: set[bytes] = set()
-        for words in cut:
-            missing.update(filterfalse(self.young.__contains__, words))
+    def remembered(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words, learnt where they are new."""
+        missing = set(words).difference(self.young)
         if missing:
             if len(self.young) + len(missing) > WORDS:
                 self.old, self.young = self.young, {}
-                missing = set().union(*cut)
+                missing = set(words)
             self.learn(missing)
-        known = self.young.__getitem__
-        return [b"".join(map(known, words)) for words in cut]
+        return list(map(self.young.__getitem__, words))
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers; none for NULL.
+
+        Arrow parts the texts and numbers their words, so that Python looks up each word once, and copies the ids.
+        """
+        words = pc.ascii_split_whitespace(pa.array([self.folded(t) for t in texts], pa.large_string()))
+        numbered = words.values.dictionary_encode()
+        ids = self.remembered(numbered.dictionary.cast(pa.large_binary()).to_pylist())
+        copied = pa.array(ids, pa.large_binary()).take(numbered.indices)
+        if not len(copied):
+            return [b""] * len(texts)
+        _, ends, data = copied.buffers()
+        edges = np.frombuffer(ends, dtype=np.int64)[words.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[lo:hi]) for lo, hi in zip(edges, edges[1:])]
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """The encoder of this worker, with what it has learnt in the tasks before."""
+    return WordEncoder(path)
 
 
 def _parts(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
@@ -327,11 +352,16 @@ def _parts(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield batch.iloc[lo:]
 
 
+def _codec() -> pa.Codec:
+    """Each document's ids are compressed from the encoding task to the writing one, on disk and in the shuffle."""
+    return pa.Codec("zstd", 1)
+
+
 def _encoded(path: str, end_id: int, narrow: bool):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(path)
+        encoder, codec = _encoder(path), _codec()
         for batch in batches:
             for part in _parts(batch):
                 ids = [e + end for e in encoder.encode(part["text"].tolist())]
@@ -339,7 +369,10 @@ def _encoded(path: str, end_id: int, narrow: bool):
                 if narrow:
                     ids = [np.frombuffer(i, dtype="<u4").astype("<u2").tobytes() for i in ids]
                 yield pd.DataFrame(
-                    {"doc_id": part["doc_id"].to_numpy(), "named": part["named"].to_numpy(), "n_tokens": sizes, "ids": ids}
+                    {
+                        "doc_id": part["doc_id"].to_numpy(), "named": part["named"].to_numpy(), "n_tokens": sizes,
+                        "crc": [zlib.crc32(i) for i in ids], "ids": [codec.compress(i, asbytes=True) for i in ids],
+                    }
                 )
 
     return run
@@ -349,9 +382,10 @@ def _encoded(path: str, end_id: int, narrow: bool):
 
 
 def _writer(folder: str, file_tokens: int, narrow: bool):
-    kind = "<u2" if narrow else "<u4"
+    kind = np.dtype("<u2" if narrow else "<u4")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codec = _codec()
         shard, number = None, 0
         docs: list[int] = []
         sizes: list[int] = []
@@ -385,7 +419,7 @@ def _writer(folder: str, file_tokens: int, narrow: bool):
                 sizes.append(int(size))
                 held += int(size)
                 nameless += not named
-                parts.append(ids)
+                parts.append(codec.decompress(ids, int(size) * kind.itemsize, asbytes=True))
         if docs:
             yield flush()
 
@@ -417,7 +451,9 @@ def write_tokens(
         F.col("text").cast("string").alias("text"),
     )
     encoded = written(
-        texts.mapInPandas(_encoded(tokenizer, end_id, narrow), "doc_id long, named boolean, n_tokens long, ids binary"),
+        texts.mapInPandas(
+            _encoded(tokenizer, end_id, narrow), "doc_id long, named boolean, n_tokens long, crc long, ids binary"
+        ),
         "dac-ids",
     )
     running = with_total_before(encoded.select("doc_id", "n_tokens"), ["doc_id"], "n_tokens", "before")
@@ -434,7 +470,7 @@ def write_tokens(
         return pd.Series(np.searchsorted(cuts, doc.to_numpy(dtype=np.int64), side="right").astype(np.int32))
 
     placed = encoded.withColumn("shard", shard_of("doc_id")).repartitionById(len(cuts) + 1, "shard")
-    ordered = placed.sortWithinPartitions("shard", "doc_id", "named", F.crc32("ids"))
+    ordered = placed.sortWithinPartitions("shard", "doc_id", "named", "crc")
     return publish(ordered.mapInPandas(_writer(folder, file_tokens, narrow), _DRAFTS), folder)
 
 

@@ -437,3 +437,17 @@ def test_linked_sets_share_a_block_sum(num):
             met += 1
             assert np.intersect1d(*(ngram_join.block_sums(np.sort(x), threshold, firsts) for x in (one, other))).size
     assert met > 20
+
+
+def test_token_ids_are_encoded_once_per_worker_and_kept_compressed(spark, tmp_path, monkeypatch):
+    kept = []
+    monkeypatch.setattr(dac, "written", lambda df, name: kept.append(df) or written(df, name))
+    rows = [(i, " ".join(f"word{j % 9} {i}" for j in range(400))) for i in range(30)] + [(None, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dac.write_tokens(docs, str(tmp_path / "out"), queries.tokenizer_path(), 1)
+    held = kept[0].agg(F.sum(F.length("ids")).alias("bytes"), F.sum("n_tokens").alias("tokens")).first()
+    assert held.bytes < held.tokens
+    tokenizer = dac.WordEncoder(queries.tokenizer_path()).tokenizer
+    found = sorted((-1 if r.doc_id is None else r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in dac.read_tokens(spark, str(tmp_path / "out")).collect())
+    assert found == sorted((-1 if d is None else d, tokenizer.encode(t or "").ids + [1]) for d, t in rows)
+    assert dac._encoder(queries.tokenizer_path()) is dac._encoder(queries.tokenizer_path())
