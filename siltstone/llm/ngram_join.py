@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import connected_components
@@ -40,6 +40,8 @@ BLOCK_GRAMS = 4_000_000
 PANEL = 2_048
 #: Sums gathered in a task before they are sent off.
 FLUSH_SUMS = 500_000
+#: Bits of a filter of doc_ids, at least (one bitmap of Spark's) and at most (8 MB).
+LEAST_BITS, MOST_BITS = 1 << 15, 1 << 26
 
 
 class Threshold:
@@ -394,6 +396,32 @@ def _sizes(words: int):
     return run
 
 
+def _marked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` with _perhaps: false only where ``ids`` has no such doc_id, so that few texts go through a join with them.
+
+    The bitmaps of hashed doc_ids are bounded, whatever the number of ``ids``, and therefore broadcast by hint.
+    """
+    count, bits = ids.count(), LEAST_BITS
+    while bits < min(16 * count, MOST_BITS):
+        bits *= 2
+
+    def place() -> Column:
+        return F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(bits).cast("long"))
+
+    def part() -> Column:
+        return F.shiftright(place(), LEAST_BITS.bit_length() - 1)
+
+    maps = ids.select(part().alias("_ngram_part"), F.bitmap_bit_position(place() + 1).alias("at"))
+    maps = written(
+        maps.groupBy("_ngram_part").agg(F.bitmap_construct_agg("at").alias("_ngram_map")), "ngram-filter"
+    )
+    joined = docs.join(F.broadcast(maps), part() == F.col("_ngram_part"), "left")
+    at = F.pmod(place(), F.lit(LEAST_BITS)).cast("int")
+    octet = F.conv(F.hex(F.substring("_ngram_map", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.pmod(F.floor(octet / F.pow(F.lit(2), F.pmod(at, F.lit(8)))), F.lit(2))
+    return joined.withColumn("_perhaps", F.coalesce(bit == 1, F.lit(False))).drop("_ngram_part", "_ngram_map")
+
+
 def _spread_grams(words: int, slots: int):
     """N-grams of (grp, h1, text) rows by slot of their hash, many rows packed together.
 
@@ -468,6 +496,8 @@ def _refined(docs: DataFrame, rows: DataFrame, threshold: Threshold, words: int,
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     slots = max(1, -(-4 * int(total) // block_grams))
 
+    docs = _marked(docs, rows.select("doc_id")).where("_perhaps").drop("_perhaps")
+
     def by_slot(of: DataFrame, what, schema: str) -> DataFrame:
         texts = docs.join(of.select("grp", "doc_id", "h1"), "doc_id").select("grp", "h1", "text")
         spread = texts.mapInPandas(_spread_grams(words, slots), "slot int, grps binary, docs binary, grams binary")
@@ -573,7 +603,8 @@ def _product(docs, classes, threshold: Threshold, words: int, block_rows: int, b
 
     # Each text that some product needs is turned into its set once, before it is copied to its tasks.
     needed = wanted.select("doc_id").distinct()
-    sets = docs.join(needed, "doc_id", "left_semi").mapInPandas(_sets(words), "doc_id long, text binary")
+    texts = _marked(docs, needed).where("_perhaps").drop("_perhaps")
+    sets = texts.join(needed, "doc_id", "left_semi").mapInPandas(_sets(words), "doc_id long, text binary")
     rows = wanted.join(sets.withColumnRenamed("text", "grams"), "doc_id")
     links = rows.select("task", "side", "grp", "doc_id", "weight", "grams").groupBy("task")
     return written(links.applyInPandas(_multiply(words, threshold), _LINKS), "ngram-links")
@@ -592,7 +623,9 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
         "ngram-verdicts",
     )
     dropped = verdicts.where("doc_id <> first").select(F.col("doc_id").alias("_dropped"))
-    kept = docs.join(dropped, F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti")
+    marked = _marked(docs, dropped.select(F.col("_dropped").alias("doc_id")))
+    open_ = marked.where("_perhaps").join(dropped, F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti")
+    kept = marked.where("not _perhaps").unionByName(open_).drop("_perhaps")
     repeated = verdicts.where("copies > 1 and doc_id = first").select(F.col("doc_id").alias("_repeated"))
     if repeated.isEmpty():
         return kept

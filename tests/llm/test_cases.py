@@ -451,3 +451,13 @@ def test_token_ids_are_encoded_once_per_worker_and_kept_compressed(spark, tmp_pa
     found = sorted((-1 if r.doc_id is None else r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in dac.read_tokens(spark, str(tmp_path / "out")).collect())
     assert found == sorted((-1 if d is None else d, tokenizer.encode(t or "").ids + [1]) for d, t in rows)
     assert dac._encoder(queries.tokenizer_path()) is dac._encoder(queries.tokenizer_path())
+
+
+def test_filter_of_doc_ids_loses_none_and_lets_few_others_pass(spark):
+    docs = spark.range(60_000).selectExpr("cast(id * 7919 - 1000 as string) as doc_id", "'x' as text").union(_docs(spark, [(None, "")]).selectExpr("cast(doc_id as string)", "text"))
+    ids = docs.where("doc_id % 5 = 0").select("doc_id")
+    marked = ngram_join._marked(docs, ids)
+    assert marked.columns == ["doc_id", "text", "_perhaps"] and marked.count() == 60_001
+    assert marked.join(ids, "doc_id").where("not _perhaps").count() == 0
+    assert marked.join(ids, "doc_id", "left_anti").where("_perhaps").count() < 6_000
+    assert ngram_join._marked(docs, ids.limit(0)).where("_perhaps").count() == 0
