@@ -7,7 +7,8 @@ and a count over at most eight words. Files hold whole documents in ascending or
 first. A reader opens a file by its header and reads only those parts of its sections that it is asked for.
 
 Layout of a file, little-endian: a JSON header with the sizes of the sections, its length in front; the
-doc_ids; the tokens before each document; then per level the chunks, the bitmap and the directory.
+doc_ids; the tokens before each document; then per level the chunks, the bitmap and the directory, both empty on the
+last level, from which no id goes on.
 """
 
 from __future__ import annotations
@@ -110,10 +111,12 @@ class Codes:
         levels, rest = [], ids.astype(np.uint32)
         while True:
             goes_on = rest >= 1 << CHUNK_BITS
-            levels.append(Level.build((rest & 0xFF).astype(np.uint8), goes_on))
+            chunks = (rest & 0xFF).astype(np.uint8)
             rest = rest[goes_on] >> CHUNK_BITS
             if not len(rest):
-                return cls(levels, len(ids))
+                last = Level(chunks, np.empty(0, dtype="<u8"), np.empty(0, dtype="<u4"))
+                return cls([*levels, last], len(ids))
+            levels.append(Level.build(chunks, goes_on))
 
     def get(self, at: np.ndarray) -> np.ndarray:
         """The ids at these positions, in this order."""
@@ -126,6 +129,8 @@ class Codes:
             if not len(open_):
                 break
             out[open_] |= level.chunks[at].astype(np.uint32) << np.uint32(CHUNK_BITS * k)
+            if level is self.levels[-1]:
+                break
             more = level.goes_on(at)
             open_, at = open_[more], level.rank(at[more])
         return out
@@ -141,6 +146,8 @@ class Codes:
             if lo == hi:
                 break
             out[open_] |= level.chunks[lo:hi].astype(np.uint32) << np.uint32(CHUNK_BITS * k)
+            if level is self.levels[-1]:
+                break
             more = level.goes_on_between(lo, hi)
             lo = level.rank_of(lo)
             open_ = open_[more]
@@ -181,7 +188,7 @@ class TokenFile:
         for level in self.codes.levels:
             parts += [level.chunks, level.bits, level.ranks]
         head = {
-            "format": "dac-1", "chunk_bits": CHUNK_BITS, "rank_every": RANK_EVERY, "docs": len(self.doc_ids),
+            "format": "dac-2", "chunk_bits": CHUNK_BITS, "rank_every": RANK_EVERY, "docs": len(self.doc_ids),
             "nameless": self.nameless, "tokens": self.codes.count, "levels": [len(x.chunks) for x in self.codes.levels],
             "sections": [p.nbytes for p in parts],
         }
@@ -193,7 +200,7 @@ class TokenFile:
         """A file read by its parts, as they are asked for."""
         size = int.from_bytes(stream.read_at(8, 0), "little")
         head, at = json.loads(stream.read_at(size, 8)), 8 + size
-        if head["format"] != "dac-1" or head["chunk_bits"] != CHUNK_BITS or head["rank_every"] != RANK_EVERY:
+        if head["format"] not in ("dac-1", "dac-2") or head["chunk_bits"] != CHUNK_BITS or head["rank_every"] != RANK_EVERY:
             raise ValueError("not a file of this format")
         parts = []
         for kind, length in zip(["<i8", "<i8"] + ["<u1", "<u8", "<u4"] * len(head["levels"]), head["sections"]):
@@ -354,7 +361,7 @@ def _parts(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
 
 def _codec() -> pa.Codec:
     """Each document's ids are compressed from the encoding task to the writing one, on disk and in the shuffle."""
-    return pa.Codec("zstd", 1)
+    return pa.Codec("zstd", 5)
 
 
 def _encoded(path: str, end_id: int, narrow: bool):

@@ -461,3 +461,15 @@ def test_filter_of_doc_ids_loses_none_and_lets_few_others_pass(spark):
     assert marked.join(ids, "doc_id").where("not _perhaps").count() == 0
     assert marked.join(ids, "doc_id", "left_anti").where("_perhaps").count() < 6_000
     assert ngram_join._marked(docs, ids.limit(0)).where("_perhaps").count() == 0
+
+
+@pytest.mark.parametrize("largest", [200, 40_000, 1 << 31])
+def test_last_level_of_a_token_file_has_no_bitmap(largest):
+    ids = np.random.default_rng(3).integers(0, largest, 5_000).astype(np.uint32)
+    data = dac.TokenFile.build([1, 2], [3_000, 2_000], ids).to_bytes()
+    assert len(data) < 5_000 * sum(1.13 if largest > 1 << 8 * k + 8 else 1 for k in range(4) if largest > 1 << 8 * k) + 600
+    for file in (dac.TokenFile.from_bytes(data), dac.TokenFile.open(pa.BufferReader(data))):
+        assert [file.tokens(d).tolist() for d in (0, 1)] == [ids[:3_000].tolist(), ids[3_000:].tolist()]
+    at = np.array([4_999, 0, 17, 17])
+    assert dac.TokenFile.from_bytes(data).codes.get(at).tolist() == ids[at].tolist()
+    assert dac.TokenFile.from_bytes(dac.TokenFile.build([7], [0], ids[:0]).to_bytes()).tokens(0).tolist() == []
