@@ -39,7 +39,7 @@ RANK_EVERY = 512
 FILE_TOKENS = 8_000_000
 SHARD_TOKENS = 16_000_000
 #: Words a worker remembers the ids of, in each of two generations, and new words encoded as one text.
-WORDS = 500_000
+WORDS = 300_000
 JOINED_WORDS = 64
 #: Texts and characters encoded at once; a longer text is encoded alone.
 PART_TEXTS, PART_CHARS = 256, 2_000_000
@@ -392,6 +392,7 @@ def _writer(folder: str, file_tokens: int, narrow: bool):
     kind = np.dtype("<u2" if narrow else "<u4")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _encoder.cache_clear()  # the memory is for the files now
         codec = _codec()
         shard, number = None, 0
         docs: list[int] = []
